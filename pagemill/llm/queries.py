@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pagemill.llm import pieces
+from pagemill.llm import leaks, pieces
 
 QUERIES = {
     "p7_found": pieces.p7_found,
     "p7_pieces": pieces.p7_pieces,
+    "p8_found": leaks.p8_found,
+    "p8_spans": leaks.p8_spans,
+    "p8_items": leaks.p8_items,
 }
 ORACLE = {
     "p7_found": pieces.P7_FOUND_SQL,
