@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pagemill.llm import leaks, pieces
+from pagemill.llm import encoding, leaks, pieces
 
 QUERIES = {
+    "p4_found": encoding.p4_found,
+    "p4_restored": encoding.p4_restored,
     "p7_found": pieces.p7_found,
     "p7_pieces": pieces.p7_pieces,
     "p8_found": leaks.p8_found,
