@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pagemill.llm import encoding, leaks, pieces
+from pagemill.llm import encoding, leaks, lookalikes, pieces
 
 QUERIES = {
     "p4_found": encoding.p4_found,
     "p4_restored": encoding.p4_restored,
+    "p6_found": lookalikes.p6_found,
+    "p6_canonical": lookalikes.p6_canonical,
     "p7_found": pieces.p7_found,
     "p7_pieces": pieces.p7_pieces,
     "p8_found": leaks.p8_found,
