@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagemill.llm import encoding, leaks, lookalikes, pieces
+from pagemill.llm import encoding, languages, leaks, lookalikes, pieces
 
 QUERIES = {
     "p4_found": encoding.p4_found,
@@ -14,6 +14,9 @@ QUERIES = {
     "p8_found": leaks.p8_found,
     "p8_spans": leaks.p8_spans,
     "p8_items": leaks.p8_items,
+    "p10_found": languages.p10_found,
+    "p10_documents": languages.p10_documents,
+    "p10_passages": languages.p10_passages,
 }
 ORACLE = {
     "p7_found": pieces.P7_FOUND_SQL,
