@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pagemill.llm import encoding, languages, leaks, lookalikes, pieces
+from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces
 
 QUERIES = {
     "p4_found": encoding.p4_found,
     "p4_restored": encoding.p4_restored,
+    "p5_found": neardups.p5_found,
+    "p5_groups": neardups.p5_groups,
     "p6_found": lookalikes.p6_found,
     "p6_canonical": lookalikes.p6_canonical,
     "p7_found": pieces.p7_found,
