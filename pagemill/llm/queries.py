@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces
+from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces, sentences
 
 QUERIES = {
+    "p1_found": sentences.p1_found,
+    "p1_units": sentences.p1_units,
     "p4_found": encoding.p4_found,
     "p4_restored": encoding.p4_restored,
     "p5_found": neardups.p5_found,
