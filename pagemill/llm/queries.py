@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces, sentences
+from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces, quality, sentences
 
 QUERIES = {
     "p1_found": sentences.p1_found,
     "p1_units": sentences.p1_units,
+    "p3_found": quality.p3_found,
+    "p3_stats": quality.p3_stats,
     "p4_found": encoding.p4_found,
     "p4_restored": encoding.p4_restored,
     "p5_found": neardups.p5_found,
