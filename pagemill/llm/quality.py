@@ -46,36 +46,60 @@ _LATIN_WORD = re.compile("[A-Za-z]{2,}")
 _VOWEL = re.compile("[aeiouyAEIOUYà-ÿÀ-ß]")
 
 
-def is_junk(text: str) -> bool:
-    """Whether a line, or a whole text, is no language at all."""
-    solid = re.sub(r"\s", "", text)
-    n = len(solid)
+FLAGS = ("solid", "letter", "digit", "mark", "odd", "box", "latin", "vowel", "symbol")
+_FLAG: np.ndarray | None = None
+
+
+def flag_table() -> np.ndarray:
+    """A bit for each of FLAGS, by code point."""
+    global _FLAG
+    if _FLAG is None:
+        bit = {f: 1 << i for i, f in enumerate(FLAGS)}
+        t = np.zeros(0x110000, dtype=np.uint16)
+        for i in range(0x110000):
+            c = chr(i)
+            t[i] = (not c.isspace()) * bit["solid"] + c.isalpha() * bit["letter"] + c.isdigit() * bit["digit"]
+        text = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+        t[[ord(m[0]) for m in _SYMBOL.finditer(text)]] |= bit["symbol"]
+        t[0x2500:0x25A0] |= bit["box"]
+        for chars, f in (("!#$%&*+/<=>@[\\]^_`{|}~'\"-.,:;()", "mark"), ("#$&*+<=>@[\\]^_`{|}~", "odd")):
+            t[[ord(c) for c in chars]] |= bit[f]
+        for c in "abcdefghijklmnopqrstuvwxyz":
+            for x in (c, c.upper()):
+                t[ord(x)] |= bit["latin"] + (c in "aeiouy") * bit["vowel"]
+        _FLAG = t
+    return _FLAG
+
+
+def counted(lines: list[str]) -> list[dict[str, int]]:
+    """How many characters of each line have each flag."""
+    points = np.frombuffer("\n".join([*lines, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    bits = flag_table()[points]
+    starts = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])[:-1]]).astype(int)
+    sums = [np.add.reduceat((bits >> i & 1).astype(np.int64), starts).tolist() for i in range(len(FLAGS))]
+    return [dict(zip(FLAGS, x)) for x in zip(*sums)]
+
+
+def is_junk(text: str, k: dict[str, int]) -> bool:
+    """Whether a line, or a whole text, is no language at all; k counts its characters by flag."""
+    n = k["solid"]
     if n < 4:
         return False
-    boxes = len(_BOX.findall(solid))
-    if boxes > 0.2 * n and len(set(re.findall(r"[^\W_]", solid))) <= 10:
+    if k["box"] > 0.2 * n and len(set(re.findall(r"[^\W_]", text))) <= 10:
         return True
-    if sum(len(m) for m in _PDF.findall(text)) > 0.25 * n:
-        return True
-    if sum(len(m) for m in _HEX.findall(text)) > 0.6 * n:
-        return True
-    if sum(len(m) for m in _BLOB.findall(text)) > 0.5 * n:
-        return True
-    ascii_symbols = sum(c in "!#$%&*+/<=>@[\\]^_`{|}~'\"-.,:;()" for c in solid)
-    letters = sum(c.isalpha() for c in solid)
-    if ascii_symbols > 0.35 * n and letters < 0.55 * n and not _CONTENTS.search(text) and "\t" not in text:
-        odd = sum(c in "#$&*+<=>@[\\]^_`{|}~" for c in solid)
-        if odd > 0.18 * n or letters < 0.15 * n and ascii_symbols > 0.6 * n and odd > 0.05 * n:
+    if k["digit"] > 0.06 * n:
+        found = [sum(len(m) for m in p.findall(text)) for p in (_PDF, _HEX, _BLOB)]
+        if found[0] > 0.25 * n or found[1] > 0.6 * n or found[2] > 0.5 * n:
             return True
-    words = _LATIN_WORD.findall(text)
-    inside = sum(map(len, words))
-    if len(words) >= 3 and inside > 0.5 * n:
+    if k["mark"] > 0.35 * n and k["letter"] < 0.55 * n and "\t" not in text and not _CONTENTS.search(text):
+        if k["odd"] > 0.18 * n or k["letter"] < 0.15 * n and k["mark"] > 0.6 * n and k["odd"] > 0.05 * n:
+            return True
+    if k["latin"] > 0.5 * n and k["vowel"] < 0.2 * k["latin"]:
+        words = _LATIN_WORD.findall(text)
         dumb = sum(len(w) for w in words if len(w) >= 3 and not w.isupper() and len(_VOWEL.findall(w)) < 0.15 * len(w))
-        if dumb > 0.5 * inside:
+        if len(words) >= 3 and dumb > 0.5 * sum(map(len, words)):
             return True
-    if n >= 12 and len(set(solid)) <= 4 and not _CONTENTS.search(text):
-        return True
-    return False
+    return n >= 12 and len(set(text)) <= 5 and not _CONTENTS.search(text)
 
 
 def alignment(lines: list[str]) -> list[str]:
@@ -122,9 +146,9 @@ def periodicity(lines: list[str]) -> float:
     return sum(again) / len(lines) if lines else 0.0
 
 
-def line_kinds(lines: list[str]) -> list[str]:
+def line_kinds(lines: list[str], counts: list[dict[str, int]]) -> list[str]:
     """'list', 'table', 'junk' or 'prose' for each line."""
-    if len(lines) > 1 and is_junk("\n".join(lines)):
+    if len(lines) > 1 and is_junk("\n".join(lines), {f: sum(k[f] for k in counts) for f in FLAGS}):
         return ["junk"] * len(lines)
     aligned = alignment(lines)
     marked = [bool(_MARKER.match(x)) and len(x) < 160 for x in lines]
@@ -132,7 +156,7 @@ def line_kinds(lines: list[str]) -> list[str]:
     out = []
     for i, x in enumerate(lines):
         near = marked[max(0, i - 1) : i] + marked[i + 1 : i + 2]
-        if is_junk(x):
+        if is_junk(x, counts[i]):
             out.append("junk")
         elif listed[i]:
             out.append("list")
@@ -151,8 +175,9 @@ def statistics(text: str | None, common: set[str]) -> dict:
     lines = [x for x in text.split("\n") if x.strip()]
     words = _WORD.findall(text)
     n = len(text)
-    kinds = line_kinds(lines)
-    solid = [len(re.sub(r"\s", "", x)) for x in lines]
+    counts = counted(lines) if lines else []
+    kinds = line_kinds(lines, counts)
+    solid = [k["solid"] for k in counts]
     share = Counter()
     for k, s in zip(kinds, solid):
         share[k] += s
@@ -162,7 +187,7 @@ def statistics(text: str | None, common: set[str]) -> dict:
     return {
         "word_count": len(words),
         "mean_word_length": round(sum(map(len, words)) / len(words), 4) if words else 0.0,
-        "symbol_ratio": round(len(_SYMBOL.findall(text)) / n, 4) if n else 0.0,
+        "symbol_ratio": round(sum(k["symbol"] for k in counts) / n, 4) if n else 0.0,
         "line_end_punctuation": round(sum(bool(_END.search(x.rstrip())) for x in lines) / len(lines), 4) if lines else 0.0,
         "common_word_share": round(sum(w.lower() in common for w in words) / len(words), 4) if words else 0.0,
         "length_autocorrelation": round(autocorrelation([len(x) for x in lines]), 4),
