@@ -22,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pagemill.llm.tables import code_points
 from pagemill.session import spread, table
 
 #: Documents per language label that the machines are trained on, the lowest by hash, and the characters of each.
@@ -69,16 +70,9 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 
 def script_table() -> np.ndarray:
     if not _LETTER.any():
-        text = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
-        for k, (_, pattern) in enumerate(SCRIPTS, 1):
-            _LETTER[[ord(m[0]) for m in pattern.finditer(text)]] = k
-        _LETTER[0x30FB] = 0
-        for c in text:
-            low = c.lower()
-            if c.isalpha():
-                _LOWER[ord(c)] = ord(low[0])
-            elif c.isspace():
-                _SOLID[ord(c)] = False
+        _LETTER[:] = code_points(lambda c: next((k for k, (_, p) in enumerate(SCRIPTS, 1) if c != "・" and p.match(c)), 0), np.uint8)
+        _LOWER[:] = code_points(lambda c: ord(c.lower()[0]) if c.isalpha() else 32, np.uint32)
+        _SOLID[:] = code_points(lambda c: not c.isspace())
     return _LETTER
 
 
@@ -167,18 +161,18 @@ class Model:
         return [(languages[c], s) for c, s in zip(best.tolist(), sure.tolist())]
 
 
-def family_of(counts: np.ndarray) -> str | None:
-    """The family of a passage from its letters by script: a few kana among ideographs make it Japanese."""
-    by = {name: int(n) for (name, _), n in zip(SCRIPTS, counts[1:])}
-    if not sum(by.values()):
-        return None
-    east = by["kana"] + by["han"]
-    if by["kana"] * 8 >= east > 0:
-        by["kana"], by["han"] = east, 0
-    else:
-        by["kana"], by["han"] = 0, east
+def families_of(counts: np.ndarray) -> list[str | None]:
+    """The family of each passage from its letters by script: a few kana among ideographs make it Japanese."""
+    names = [name for name, _ in SCRIPTS]
+    kana, han = names.index("kana"), names.index("han")
+    by = counts[:, 1:].astype(np.int64)
+    east = by[:, kana] + by[:, han]
+    japanese = (by[:, kana] * 8 >= east) & (east > 0)
+    by[:, kana], by[:, han] = np.where(japanese, east, 0), np.where(japanese, 0, east)
     # an ideograph or syllable says as much as three letters
-    return max(by, key=lambda k: by[k] * (3 if k in ("kana", "han", "hangul") else 1))
+    by *= np.array([3 if n in ("kana", "han", "hangul") else 1 for n in names])
+    best, some = by.argmax(1).tolist(), by.any(1).tolist()
+    return [names[k] if s else None for k, s in zip(best, some)]
 
 
 def passages(text: str, model: Model) -> list[list]:
@@ -200,7 +194,7 @@ def passages(text: str, model: Model) -> list[list]:
         cuts = [e for k in mixed for _, e in by_script(scripts, int(ends[k - 1]) if k else 0, int(ends[k]))]
         ends = np.unique(np.concatenate([ends, np.array(cuts, dtype=ends.dtype)]))
         counts = counted(ends)
-    families = [family_of(c) for c in counts]
+    families = families_of(counts)
     found: dict[int, tuple[str, float]] = {}
     for family, (pairs, w) in model.machines.items():
         rows = [k for k, f in enumerate(families) if f == family]
