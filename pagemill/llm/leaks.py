@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.llm.tables import code_points
 from pagemill.session import spread, table
 
 WORDS, CHARS = 14, 20
@@ -41,7 +42,7 @@ def alnum() -> np.ndarray:
     """Which code points are letters or digits, as a table."""
     global _ALNUM
     if _ALNUM is None:
-        _ALNUM = np.array([chr(i).isalnum() for i in range(0x110000)])
+        _ALNUM = code_points(str.isalnum)
     return _ALNUM
 
 

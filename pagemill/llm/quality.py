@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.llm.tables import code_points
 from pagemill.session import spread, table
 
 #: Neighbouring lines that must agree for a table; for a list one less.
@@ -55,12 +56,11 @@ def flag_table() -> np.ndarray:
     global _FLAG
     if _FLAG is None:
         bit = {f: 1 << i for i, f in enumerate(FLAGS)}
-        t = np.zeros(0x110000, dtype=np.uint16)
-        for i in range(0x110000):
-            c = chr(i)
-            t[i] = (not c.isspace()) * bit["solid"] + c.isalpha() * bit["letter"] + c.isdigit() * bit["digit"]
-        text = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
-        t[[ord(m[0]) for m in _SYMBOL.finditer(text)]] |= bit["symbol"]
+        t = code_points(
+            lambda c: (not c.isspace()) * bit["solid"] + c.isalpha() * bit["letter"] + c.isdigit() * bit["digit"]
+            + bool(_SYMBOL.match(c)) * bit["symbol"],
+            np.uint16,
+        )
         t[0x2500:0x25A0] |= bit["box"]
         for chars, f in (("!#$%&*+/<=>@[\\]^_`{|}~'\"-.,:;()", "mark"), ("#$&*+<=>@[\\]^_`{|}~", "odd")):
             t[[ord(c) for c in chars]] |= bit[f]
