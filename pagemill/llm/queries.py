@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces, quality, sentences
+from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces, quality, scans, sentences
 
 QUERIES = {
     "p1_found": sentences.p1_found,
     "p1_units": sentences.p1_units,
+    "p2_found": scans.p2_found,
+    "p2_repaired": scans.p2_repaired,
     "p3_found": quality.p3_found,
     "p3_stats": quality.p3_stats,
     "p4_found": encoding.p4_found,
