@@ -179,14 +179,16 @@ def passages(text: str, model: Model) -> list[list]:
     """[start, end, language, confidence, characters]: passages of one language, in order, covering all letters."""
     points = points_of(text)
     scripts = script_table()[points]
-    solid = np.concatenate([[0], np.cumsum(_SOLID[points])])
+    solid = np.zeros(len(points) + 1, dtype=np.int64)
+    np.cumsum(_SOLID[points], out=solid[1:])
     width = len(SCRIPTS) + 1
-    ends = np.array([*(m.end() for m in _END.finditer(text)), len(text)])
+    ends = np.array([m.end() for m in _END.finditer(text)] + [len(text)])
     ends = ends[np.concatenate([[True], np.diff(ends) > 0])]
 
     def counted(ends: np.ndarray) -> np.ndarray:
-        which = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        return np.bincount(which * width + scripts, minlength=len(ends) * width).reshape(-1, width)
+        which = np.repeat(np.arange(0, len(ends) * width, width), np.diff(ends, prepend=0))
+        which += scripts
+        return np.bincount(which, minlength=len(ends) * width).reshape(-1, width)
 
     counts = counted(ends)
     mixed = np.flatnonzero((counts[:, -1] >= 40) & (counts[:, 1:-1].sum(1) >= 12))
@@ -200,11 +202,13 @@ def passages(text: str, model: Model) -> list[list]:
         rows = [k for k, f in enumerate(families) if f == family]
         if rows:
             two, three = grams(letters_only(points))
-            scores = np.zeros((len(points) + 1, len(pairs)), dtype=np.float32)
-            scores[1 : len(two) + 1] += w[two]
-            scores[2 : len(three) + 2] += w[three]
             starts = np.concatenate([[0], ends[:-1]])
-            sums = np.add.reduceat(scores, starts, axis=0)[rows]
+            if len(three):
+                scores = np.take(w, two, axis=0)
+                scores[1:] += np.take(w, three, axis=0)
+                sums = np.add.reduceat(scores, np.minimum(starts, len(scores) - 1), axis=0)[rows]
+            else:
+                sums = np.zeros((len(rows), len(pairs)), dtype=np.float32)
             found |= dict(zip(rows, model.within(family, sums, (ends - starts)[rows])))
     out: list[list] = []
     start = 0
