@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagemill.llm import encoding, languages, leaks, lookalikes, neardups, pieces, quality, scans, sentences
+from pagemill.llm import encoding, languages, leaks, lookalikes, mixing, neardups, pieces, quality, scans, sentences
 
 QUERIES = {
     "p1_found": sentences.p1_found,
@@ -22,6 +22,9 @@ QUERIES = {
     "p8_found": leaks.p8_found,
     "p8_spans": leaks.p8_spans,
     "p8_items": leaks.p8_items,
+    "p9_mix": mixing.p9_mix,
+    "p9_report": mixing.p9_report,
+    "p9_temperature": mixing.p9_temperature,
     "p10_found": languages.p10_found,
     "p10_documents": languages.p10_documents,
     "p10_passages": languages.p10_passages,
