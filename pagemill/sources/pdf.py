@@ -1,0 +1,77 @@
+"""A Python data source "pdf_pages": blocks of the pages of PDF files, one partition per file.
+
+It needs PyMuPDF, which is imported only when a file is read. Pages that fail to load are left out.
+"""
+
+from __future__ import annotations
+
+import glob
+from collections.abc import Iterator
+
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+SCHEMA = "source string, page int, ord int, type string, content_text string, table_rows array<array<string>>, confidence double, bbox array<double>"
+
+
+class PdfPages(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "pdf_pages"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return PdfReader(self.options)
+
+
+class PdfReader(DataSourceReader):
+    """Options: path (a glob), start and end page (end exclusive), tables and images (true or false)."""
+
+    def __init__(self, options: dict):
+        self.options = dict(options)
+
+    def partitions(self) -> list[InputPartition]:
+        files = sorted(glob.glob(self.options["path"]))
+        if not files:
+            raise FileNotFoundError(f"no PDF at {self.options['path']}")
+        return [InputPartition(f) for f in files]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        try:
+            import fitz
+        except ImportError as e:
+            raise RuntimeError("reading PDF files needs the package PyMuPDF") from e
+        from pathlib import Path
+
+        name = Path(partition.value).name
+        with fitz.open(partition.value) as doc:
+            end = min(int(self.options.get("end", len(doc))), len(doc))
+            for n in range(int(self.options.get("start", 0)), end):
+                try:
+                    page = doc[n]
+                    yield from self.page_rows(page, name, n)
+                except (RuntimeError, ValueError):
+                    continue
+
+    def page_rows(self, page, name: str, n: int) -> Iterator[tuple]:
+        ord_ = 0
+        for b in page.get_text("dict")["blocks"]:
+            text = "\n".join("".join(s["text"] for s in line["spans"]) for line in b.get("lines", []))
+            if b["type"] == 0 and text.strip():
+                yield name, n, ord_, "text", text, None, 1.0, [float(x) for x in b["bbox"]]
+                ord_ += 1
+        if self.options.get("tables", "true") == "true":
+            for t in page.find_tables(strategy=self.options.get("table_strategy", "lines")):
+                yield name, n, ord_, "table", None, [[c or "" for c in row] for row in t.extract()], 0.8, [float(x) for x in t.bbox]
+                ord_ += 1
+        if self.options.get("images", "false") == "true":
+            for i, image in enumerate(page.get_images()):
+                boxes = page.get_image_rects(image[0])
+                yield name, n, ord_, "image", f"[IMAGE: xref={image[0]}, index={i}]", None, 0.0, [float(x) for x in boxes[0]] if boxes else None
+                ord_ += 1
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(PdfPages)
