@@ -117,6 +117,8 @@ def scan_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for source, block, page, ord_, y0, y1, text in b.itertuples(index=False, name=None):
             lines = [x for x in text.split("\n") if x.strip()]
+            if not lines:
+                continue
             zone = -1 if pd.isna(y0) else int(y1 <= TOP or y0 >= BOTTOM)
             head = (source, block, page, ord_)
             for i in sorted({0, len(lines) - 1}):
