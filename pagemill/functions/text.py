@@ -5,6 +5,7 @@ Null text gives null; empty text gives 0 for every measure and an empty array fo
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,18 +55,22 @@ def noise_ratio(c: Column | str) -> Column:
     n = F.length(col(c))
     symbols = n - F.length(F.regexp_replace(col(c), rf"[^\p{{L}}\p{{N}}_{WS}]{{3,}}", ""))
     spaces = n - F.length(F.regexp_replace(col(c), f"[{WS}]{{4,}}", " "))
-    return F.least(_ratio(symbols + spaces, n), F.lit(1.0))
+    ratio = _ratio(symbols + spaces, n)
+    return F.when(ratio > 1, F.lit(1.0)).otherwise(ratio)
 
 
 def repetition_ratio(c: Column | str, k: int = 5) -> Column:
     """1 - distinct k-character shingles / shingles; 0 for texts shorter than 2k."""
     n = F.length(col(c))
-    chars = F.split(col(c), "")
-    shingles = F.transform(
-        F.sequence(F.lit(0), n - k), lambda i: F.concat(*[F.get(chars, i + j) for j in range(k)])
-    )
     total = n - (k - 1)
-    return F.when(n < 2 * k, F.lit(0.0)).otherwise((total - F.size(F.array_distinct(shingles))) / total)
+
+    def distinct(chars: Column) -> Column:
+        at = F.sequence(F.lit(0), n - k)
+        return F.size(F.array_distinct(F.transform(at, lambda i: F.concat(*[F.get(chars, i + j) for j in range(k)]))))
+
+    # the outer lambda binds the split text, which the inner one would otherwise split anew for every shingle
+    found = F.get(F.transform(F.array(F.split(col(c), "")), distinct), F.lit(0))
+    return F.when(n < 2 * k, F.lit(0.0)).otherwise((total - found) / total)
 
 
 def split_sentences(c: Column | str) -> Column:
@@ -82,7 +87,6 @@ def chunk_id(source: Column | str, page_start: Column | str, page_end: Column |
 
 def clean_text(c: Column | str) -> Column:
     """Drop zero-width and format characters, compose to NFKC, drop control characters."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def nfkc(s: pd.Series) -> pd.Series:

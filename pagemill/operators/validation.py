@@ -14,17 +14,27 @@ from pagemill.functions import text as T
 METRICS = ("length", "info_density", "noise_ratio", "garble_ratio", "repetition_ratio")
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once per row: later filters and projections don't repeat their expressions.
+
+    A generator of one row stands between them and what follows; a column of the same name is replaced.
+    """
+    keep = [c for c in df.columns if c not in columns]
+    return df.select(*keep, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
 def with_metrics(chunks: DataFrame, q: Quality = Quality(), content: str = "content") -> DataFrame:
     """The five metrics, of null text as of empty text."""
     x = F.coalesce(F.col(content), F.lit(""))
-    return chunks.withColumns(
+    return computed(
+        chunks,
         {
             "length": F.length(x),
             "info_density": T.info_density(x),
             "noise_ratio": T.noise_ratio(x),
             "garble_ratio": T.garble_ratio(x) if q.garble_enabled else F.lit(0.0),
             "repetition_ratio": T.repetition_ratio(x),
-        }
+        },
     )
 
 
@@ -66,10 +76,11 @@ def reasons(q: Quality = Quality()) -> Column:
 
 def validated(chunks: DataFrame, q: Quality = Quality(), content: str = "content") -> DataFrame:
     """Metrics, rule_score, quality and reason of every chunk."""
-    out = with_metrics(chunks, q, content).withColumns({"rule_score": rule_score(q), "_r": reasons(q)})
+    out = computed(with_metrics(chunks, q, content), {"rule_score": rule_score(q), "_r": reasons(q)})
     failed = F.size("_r")
     quality = F.when((failed >= 2) | (failed > 0) & (F.col("rule_score") < 0.3), "reject").when(failed == 1, "low").otherwise("good")
-    return out.withColumns({"quality": quality, "reason": F.when(failed > 0, F.array_join("_r", "; ")).otherwise("规则校验通过")}).drop("_r")
+    said = F.when(failed > 0, F.array_join("_r", "; ")).otherwise("规则校验通过")
+    return computed(out, {"quality": quality, "reason": said}).drop("_r")
 
 
 def needs_review(c: Config = Config()) -> Column:

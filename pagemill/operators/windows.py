@@ -18,11 +18,11 @@ def page_windows(blocks: DataFrame, size: int = 10) -> DataFrame:
     pages = pages.withColumn("r", r)
     if size <= 1:
         # {0}, {0,1}, {1,2}, ..., {n-1}: a page is in the window of its rank and in the next
-        wins = F.array(F.col("r"), F.col("r") + 1)
+        wins = F.array(F.col("r"), F.col("r") + 1).cast("array<int>")
     else:
         q, m = F.floor(F.col("r") / (size - 1)), F.col("r") % (size - 1)
-        wins = F.array_compact(F.array(q, F.when((m == 0) & (F.col("r") > 0), q - 1)))
-    return pages.select("source", "page", F.explode(wins).cast("int").alias("win"))
+        wins = F.array_compact(F.array(q, F.when((m == 0) & (F.col("r") > 0), q - 1))).cast("array<int>")
+    return pages.select("source", "page", F.explode(wins).alias("win"))
 
 
 def held_back(chunks: DataFrame) -> DataFrame:
