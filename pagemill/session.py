@@ -59,3 +59,16 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """
     kept = checkpointed(df)
     return F.broadcast(kept) if kept.count() <= rows else kept
+
+
+def bounded_sample(df: DataFrame, text: str, rows: int) -> DataFrame:
+    """(h, all columns) of at most `rows` rows, the lowest by the hash of `text`, ties by the text itself.
+
+    A threshold on the hash, from the number of rows, comes first: so tasks together pass on a few times `rows` rows,
+    however many tasks there are, and the ordered limit does not gather a full list from each.
+    """
+    n = df.count()
+    h = F.xxhash64(text)
+    if n > 4 * rows:
+        df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 4 * rows / n)))
+    return df.withColumn("h", h).orderBy(F.pmod("h", F.lit(1 << 30)), text).limit(rows)
