@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.session import spread, table
+from pagemill.session import bounded_sample, spread, table
 
 #: Rows of each of chunks and page blocks, the lowest by hash, on which the classifier is trained.
 TRAIN_ROWS = 2500
@@ -333,12 +333,8 @@ def letters_exchanged(model: Model, text: str, spans: list[tuple[int, int]]) ->
 def sound_sample(df: DataFrame, text: str, rows: int = TRAIN_ROWS) -> list[str]:
     """The texts lowest by hash that hold other characters than ASCII, none lost or of private use."""
     x = F.col(text)
-    picked = (
-        df.filter(x.rlike(r"[^\x00-\x7f]") & ~x.rlike("[\\x{80}-\\x{9f}\\x{fffd}\\x{e000}-\\x{f8ff}]"))
-        .select(F.substring(x, 1, 2000).alias("t"), F.xxhash64(x).alias("h"))
-        .orderBy("h", "t")
-        .limit(rows)
-    )
+    sound = df.filter(x.rlike(r"[^\x00-\x7f]") & ~x.rlike("[\\x{80}-\\x{9f}\\x{fffd}\\x{e000}-\\x{f8ff}]"))
+    picked = bounded_sample(sound.select(F.substring(x, 1, 2000).alias("t")), "t", rows)
     return [r["t"] for r in picked.collect()]
 
 

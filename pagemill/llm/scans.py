@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm.boosting import Boosted
-from pagemill.session import checkpointed, small_side, spread, table
+from pagemill.session import bounded_sample, checkpointed, small_side, spread, table
 
 #: Rows of each training sample.
 TRAIN = 2500
@@ -152,7 +152,8 @@ def scan_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def sample_of(df: DataFrame, columns: list[str], rows: int = TRAIN) -> pd.DataFrame:
     """The rows lowest by hash: a bounded sample that doesn't depend on partitions."""
-    return df.select(*columns).orderBy(F.xxhash64(*columns), *columns).limit(rows).toPandas()
+    keyed = df.select(*columns).withColumn("_k", F.xxhash64(*columns).cast("string"))
+    return bounded_sample(keyed, "_k", rows).select(*columns).toPandas()
 
 
 def furniture(events: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.session import small_side, spread, table
+from pagemill.session import bounded_sample, small_side, spread, table
 
 #: Texts that the model is trained on, the lowest by hash, and the characters of each.
 TRAIN_ROWS, TRAIN_CHARS = 4000, 4000
@@ -246,8 +246,7 @@ def labelled(texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[float
 
 def trained(df: DataFrame, text: str) -> MaxEnt:
     x = F.col(text)
-    picked = df.filter(F.length(x) > 60).select(F.substring(x, 1, TRAIN_CHARS).alias("t"), F.xxhash64(x).alias("h"))
-    rows = picked.orderBy("h", "t").limit(TRAIN_ROWS).collect()
+    rows = bounded_sample(df.filter(F.length(x) > 60).select(F.substring(x, 1, TRAIN_CHARS).alias("t")), "t", TRAIN_ROWS).collect()
     return MaxEnt(*labelled([r["t"] for r in rows]))
 
 
