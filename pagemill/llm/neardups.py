@@ -1,16 +1,18 @@
 """p5: near-duplicate texts, as pairs and as groups.
 
-Method: BK-trees whose children are keyed by integer Hamming distance to the parent. Texts get a 64-bit fingerprint, one
-bit of each of 64 min-hashes of their character shingles, and are sharded by bands of four min-hashes each. Each shard
-holds one tree of at most SHARD fingerprints; queries follow only the edges within RADIUS. Hits are verified exactly.
+Method: BK-trees whose children are keyed by integer Hamming distance to the parent. Texts get a 128-bit fingerprint, two
+bits of each of 64 min-hashes of their character shingles, and are sharded by bands of four min-hashes each. Each shard
+holds one tree of at most SHARD fingerprints; queries follow only the edges within RADIUS. Hits that agree in at least
+AGREE of the min-hashes are verified exactly.
 
 Why not broadcast every tree: fingerprints of all texts have no size bound. A shard's tree goes where its rows are
 shuffled; a hot band is split into several shards and its queries are sent to each of them, which is the broadcast
-confined to that band. Bands overlap: 30 sets of four of the 64 min-hashes. A pair of which 0.7 of the min-hashes agree
-shares none with a probability of about 0.001; the measured recall is in the README.
+confined to that band. Bands overlap: 40 sets of four of the 64 min-hashes, which are those of all shingles alike. A pair
+at 0.7 shares none with a probability of 0.0015 (0.0002 at 0.75) and is beyond RADIUS with one of 0.00001; the measured
+recall is in the README.
 
 Texts equal but for U+0020, tab, CR and LF are one class; only classes are compared. Null texts and texts with fewer
-than five such characters are similar to nothing. Repeated rows of a key count once.
+than five such characters are similar to nothing, each a class of its own. Repeated rows of a key count once.
 """
 
 from __future__ import annotations
@@ -24,16 +26,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.session import bounded_sample, checkpointed, small_side, spread, table
+from pagemill.session import checkpointed, small_side, spread, table
 
 SHINGLE, THRESHOLD = 5, 0.7
-HASHES, ROWS, BANDS = 64, 4, 30
-RADIUS = 23
+HASHES, ROWS, BANDS = 64, 4, 40
+#: Of code(): 29 of the 64 pairs of bits. At 0.7 a pair of bits differs with a probability of 0.225, more than 29 with 0.00001.
+RADIUS = 58
+#: Of the min-hashes, by a byte each; at 0.7 fewer agree with a probability of 0.00001.
+AGREE = 29
 #: Most fingerprints in one tree.
 SHARD = 4000
-#: Texts of the sample that tells common shingles, the lowest by hash; the share of them that makes one common; and how
-#: many powers of two less it weighs. Sharding only: every text is indexed and hits are verified on all shingles.
-SAMPLE_ROWS, COMMON, RARER = 3000, 0.008, 6
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
@@ -61,42 +63,36 @@ def shingle_hashes(p: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(32)).astype(np.uint32)
 
 
-def signature(p: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
-    """The least value of each hash function over the shingles; those of `common` weigh 2**-RARER as much as others.
-
-    That is the min-hash of a weighted set: two texts agree in a value with the probability of their weighted
-    similarity, which boilerplate hardly raises.
-    """
+def signature(p: np.ndarray) -> np.ndarray:
+    """The least value of each hash function over the shingles: two texts agree in one with the probability of their similarity."""
     x = shingle_hashes(p)
-    often = common[x >> np.uint32(10)] if common is not None else np.zeros(len(x), dtype=bool)
     out = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
-    for part, shift in ((x[~often], RARER), (x[often], 0)):
-        for at in range(0, len(part), 4096):
-            np.minimum(out, (part[at : at + 4096] * _MUL).min(axis=1) >> np.uint32(shift), out=out)
+    for at in range(0, len(x), 4096):
+        np.minimum(out, (x[at : at + 4096] * _MUL).min(axis=1), out=out)
     return out
 
 
-def common_shingles(rows: DataFrame, text: str) -> np.ndarray:
-    """A table of the shingles (by hash) that more than COMMON of a bounded sample of texts have."""
-    sample = bounded_sample(rows.filter(F.length(text) >= SHINGLE).select(F.col(text).alias("t")), "t", SAMPLE_ROWS)
-    texts = {r["h"]: r["t"] for r in sample.collect()}
-    n, kept = np.zeros(1 << 22, dtype=np.int32), np.zeros((0, HASHES), dtype=np.uint32)
-    for t in texts.values():
-        p = compact(t)
-        if len(p) < SHINGLE:
-            continue
-        sig = signature(p)
-        if len(kept) and (kept == sig).mean(axis=1).max() > 0.4:
-            continue  # of a group of similar texts only one counts, or what they share would seem common
-        kept = np.vstack([kept, sig])
-        n[np.unique(shingle_hashes(p) >> np.uint32(10))] += 1
-    return n > max(COMMON * len(kept), 10)
+def fingerprint(sig: np.ndarray) -> tuple[int, int]:
+    """Two bits of each min-hash, in two numbers of 64 bits."""
+    h = sig * np.uint32(0x9E3779B1)
+    return tuple(int(np.packbits((h >> np.uint32(k) & np.uint32(1)).astype(np.uint8)).view(">i8")[0]) for k in (23, 27))
+
+
+def code(fp: int, fp2: int) -> int:
+    """192 bits whose Hamming distance is twice the number of min-hashes that differ in their two bits."""
+    a, b = fp & 0xFFFFFFFFFFFFFFFF, fp2 & 0xFFFFFFFFFFFFFFFF
+    return a << 128 | b << 64 | a ^ b
+
 
+def sketch(sig: np.ndarray) -> bytes:
+    """A byte of each min-hash."""
+    return ((sig * np.uint32(0x85EBCA6B)) >> np.uint32(24)).astype(np.uint8).tobytes()
 
-def fingerprint(sig: np.ndarray) -> int:
-    """One bit of each min-hash."""
-    bits = ((sig * np.uint32(0x9E3779B1)) >> np.uint32(23)) & np.uint32(1)
-    return int(np.packbits(bits.astype(np.uint8)).view(">i8")[0])
+
+def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
+    """In how many bytes the sketches agree."""
+    x, y = (np.frombuffer(b"".join(c), dtype=np.uint8).reshape(-1, HASHES) for c in (a, b))
+    return pd.Series((x == y).sum(axis=1), dtype="int32")
 
 
 def bands(sig: np.ndarray) -> np.ndarray:
@@ -138,23 +134,20 @@ class BKTree:
 
 
 def signed(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, id, fp, bands) of each row that has a shingle; id is the digest of its compact form."""
-
-    shared = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, text))
+    """(key, id, fp, fp2, sketch, bands) of each row that has a shingle; id is the digest of its compact form."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common = shared.value
         for b in batches:
             out = []
             for k, t in zip(b[key], b[text]):
                 p = compact(t)
                 if len(p) >= SHINGLE:
-                    s = signature(p, common)
-                    out.append((k, hashlib.md5(p.tobytes()).digest(), fingerprint(s), bands(s)))
-            yield pd.DataFrame(out, columns=["key", "id", "fp", "bands"])
+                    s = signature(p)
+                    out.append((k, hashlib.md5(p.tobytes()).digest(), *fingerprint(s), sketch(s), bands(s)))
+            yield pd.DataFrame(out, columns=["key", "id", "fp", "fp2", "sketch", "bands"])
 
     rows = spread(rows.select(key, text).filter(F.col(text).isNotNull()))
-    return rows.mapInPandas(scan, "key string, id binary, fp bigint, bands array<bigint>")
+    return rows.mapInPandas(scan, "key string, id binary, fp bigint, fp2 bigint, sketch binary, bands array<bigint>")
 
 
 def hot_bands(reps: DataFrame) -> DataFrame:
@@ -198,10 +191,10 @@ def tree_hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def hits(rows: pd.DataFrame, now: int | None, tree: BKTree) -> tuple[int | None, BKTree, pd.DataFrame]:
     found: dict[tuple[int, int], None] = {}
-    for shard, rid, fp in zip(rows["shard"].tolist(), rows["rid"].tolist(), rows["fp"].tolist()):
+    for shard, rid, fp, fp2 in zip(*(rows[c].tolist() for c in ("shard", "rid", "fp", "fp2"))):
         if now != shard:
             now, tree = shard, BKTree()
-        item, u = abs(rid), fp & 0xFFFFFFFFFFFFFFFF
+        item, u = abs(rid), code(fp, fp2)
         for other in tree.near(u, RADIUS):
             found[min(item, other), max(item, other)] = None
         if rid > 0:
@@ -246,14 +239,14 @@ def class_links(rows: DataFrame, key: str, text: str, threshold: float = THRESHO
     own = F.pmod(F.xxhash64("rid"), F.ceil(F.coalesce("n", F.lit(1)) / SHARD)).cast("int")
     # a hot band is cut into shards: a row joins its own and asks in those before it (a negative number)
     sharded = (
-        reps.select("rid", "fp", F.explode("bands").alias("band"))
+        reps.select("rid", "fp", "fp2", F.explode("bands").alias("band"))
         .join(hot, "band", "left")
         .withColumn("own", own)
-        .select("rid", "fp", "band", "own", F.explode(F.sequence(F.lit(0), "own")).alias("k"))
+        .select("rid", "fp", "fp2", "band", "own", F.explode(F.sequence(F.lit(0), "own")).alias("k"))
         .select(
             F.when(F.col("k") == 0, F.col("band")).otherwise(F.xxhash64("band", "k")).alias("shard"),
             F.when(F.col("k") < F.col("own"), -F.col("rid")).otherwise(F.col("rid")).alias("rid"),
-            "fp",
+            "fp", "fp2",
         )
     )
     found = (
@@ -264,6 +257,16 @@ def class_links(rows: DataFrame, key: str, text: str, threshold: float = THRESHO
     )
     found = checkpointed(found)
     wanted = small_side(found.select(F.col("a").alias("rid")).union(found.select("b")).distinct())
+    sketches = small_side(every.join(wanted, "rid", "left_semi").select("rid", "sketch"))
+    agree = F.pandas_udf(agreement, "int")
+    found = (
+        found.join(sketches.select(F.col("rid").alias("a"), F.col("sketch").alias("sa")), "a")
+        .join(sketches.select(F.col("rid").alias("b"), F.col("sketch").alias("sb")), "b")
+        .filter(agree("sa", "sb") >= AGREE)
+        .select("a", "b")
+    )
+    found = checkpointed(found)
+    wanted = small_side(found.select(F.col("a").alias("rid")).union(found.select("b")).distinct())
     asked = small_side(every.join(wanted, "rid", "left_semi").select("rid", "id", F.col("key").alias(key)))
     texts = checkpointed(rows.select(key, text).join(asked, key).groupBy("rid").agg(F.first("id").alias("id"), F.first(text).alias("t")))
     near = F.pandas_udf(similarity, "double")
@@ -310,15 +313,28 @@ def components(links: DataFrame) -> DataFrame:
         roots = new
 
 
-def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per chunk: its class, its group and the number of other classes that its class is linked to."""
-    members, links = class_links(table(spark, sf_dir, "chunks"), "chunk_id", "content")
+def lone(rows: DataFrame, key: str, text: str, members: DataFrame) -> DataFrame:
+    """(key, id) of the rows without a shingle; id is the digest of the key, as each is a class of its own."""
+    short = F.length(F.translate(text, " \t\r\n", "")) < SHINGLE
+    few = rows.filter(F.col(text).isNull() | short).select(F.col(key).alias("key")).distinct()
+    return few.join(members, "key", "left_anti").select("key", F.unhex(F.md5(F.col("key").cast("binary"))).alias("id"))
+
+
+def groups(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, class_id, group_id, n_links), one row per key: its class, its group and how many classes its class is linked to."""
+    members, links = class_links(rows, key, text)
     n = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
     return (
-        members.join(components(links), "id", "left")
+        members.union(lone(rows, key, text, members))
+        .join(components(links), "id", "left")
         .join(n, "id", "left")
         .select(
-            F.col("key").alias("chunk_id"), F.lower(F.hex("id")).alias("class_id"),
+            F.col("key").alias(key), F.lower(F.hex("id")).alias("class_id"),
             F.lower(F.hex(F.coalesce("root", "id"))).alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         )
     )
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per chunk: its class, its group and the number of other classes that its class is linked to."""
+    return groups(table(spark, sf_dir, "chunks"), "chunk_id", "content")

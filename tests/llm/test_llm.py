@@ -105,6 +105,23 @@ def test_near_duplicates_match_brute_force(spark):
     assert neardups.class_links(df.filter("false"), "chunk_id", "content")[1].count() == 0
 
 
+def test_near_duplicates_that_share_mostly_common_shingles(spark):
+    rnd = random.Random(4)
+    own = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(n))
+    forms = [own(280) for _ in range(3)]
+    apart = [forms[i % 3] + own(700) for i in range(60)]
+    near = ["".join(forms) + own(130) for _ in range(6)]
+    df = spark.createDataFrame([(f"k{i:03d}", t) for i, t in enumerate(apart + near)], "chunk_id string, content string")
+    assert neardups.class_links(df, "chunk_id", "content")[1].count() == 15
+
+
+def test_every_chunk_has_a_group(spark):
+    texts = [("a", SENTENCE), ("b", SENTENCE + " "), ("c", None), ("d", ""), ("e", "ab c\n"), ("f", "ab c\n"), ("e", "ab c\n")]
+    rows = {r["chunk_id"]: r for r in neardups.groups(spark.createDataFrame(texts, "chunk_id string, content string"), "chunk_id", "content").collect()}
+    assert set(rows) == set("abcdef") and rows["a"]["group_id"] == rows["b"]["group_id"]
+    assert len({r["class_id"] for r in rows.values()}) == 5 and all(r["n_links"] == 0 for r in rows.values())
+
+
 def test_lookalikes():
     trie = lookalikes.Trie(["the", "office", "pump"])
     form = lambda t: (lookalikes.canonical(t, trie) or (t, 0))[0]
