@@ -1,9 +1,12 @@
 """p9: a mix of sources by target shares of tokens.
 
-Method: temperature mixing. Token shares of the sources are exponentiated, the exponent bisected to meet a target entropy
-or a repetition limit; normalised weights are realised as budgeted block permutations: every document of a source is
-used in whole passes, and the rest of its budget is filled block by block in a hashed order, row by row only in the last
-block. Blocks hold about BLOCK_ROWS rows, so a source with a third of all rows is spread over many tasks.
+Method: the target shares are the weights, realised as budgeted block permutations: every document of a source is used in
+whole passes, and the rest of its budget is filled block by block in a hashed order, row by row only in the last block.
+Blocks hold about BLOCK_ROWS rows, so a source with a third of all rows is spread over many tasks. The mix is as large as
+the repetition limits allow with every source that has documents at its target.
+
+Temperature weights (token shares to the power of one exponent) don't make the mix: one exponent meets one entropy, not
+the share of each source. p9_temperature gives them, bisected to the entropy of the targets, for comparison only.
 
 Tokens are those of a public tokenizer whose file is a parameter. Null and empty texts have none and are never used; a
 null source belongs to none. Sources are compared in lower case with "_" for blanks and hyphens. A target without
@@ -22,8 +25,6 @@ from pyspark.sql import functions as F
 
 from pagemill.session import checkpointed, spread, table
 
-#: Share of the mix that sources without enough documents may leave open; it decides the size of the mix.
-OPEN = 0.05
 BLOCK_ROWS = 2000
 #: Most sources of a mix: they are planned on the driver.
 MAX_SOURCES = 100_000
@@ -87,19 +88,11 @@ def exponent_for_entropy(shares: dict[str, float], target: float) -> float:
     return (lo + hi) / 2
 
 
-def budgets(targets: dict[str, tuple[float, int]], tokens: dict[str, int], open_share: float = OPEN) -> tuple[float, dict[str, float]]:
-    """(size of the mix, tokens of each source): the largest size at which the limits leave at most open_share open."""
+def budgets(targets: dict[str, tuple[float, int]], tokens: dict[str, int]) -> tuple[float, dict[str, float]]:
+    """(size of the mix, tokens of each source): the largest size at which every source with documents meets its target."""
     caps = {s: float(tokens.get(s, 0) * r) for s, (_, r) in targets.items()}
-    never = sum(t for s, (t, _) in targets.items() if not caps[s])
-
-    def missing(size: float) -> float:
-        return sum(max(0.0, t * size - caps[s]) for s, (t, _) in targets.items()) / size
-
-    lo, hi = 1.0, max(sum(caps.values()), 1.0)
-    for _ in range(80):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if missing(mid) <= never + open_share else (lo, mid)
-    return lo, {s: min(t * lo, caps[s]) for s, (t, _) in targets.items()}
+    size = min((caps[s] / t for s, (t, _) in targets.items() if caps[s]), default=0.0)
+    return size, {s: min(t * size, caps[s]) for s, (t, _) in targets.items()}
 
 
 def plan(spark: SparkSession, docs: DataFrame, targets: DataFrame) -> DataFrame:

@@ -153,6 +153,17 @@ def test_mixing(spark):
     assert mixing.mix(docs.filter("false"), targets)[0].count() == 0
 
 
+def test_every_source_with_documents_meets_its_target(spark):
+    docs = spark.createDataFrame([(i, "a" if i < 200 else "b" if i < 300 else "c", 10) for i in range(310)], "doc_id bigint, source string, tokens bigint")
+    want = {"a": 0.5, "b": 0.4, "c": 0.08}
+    targets = spark.createDataFrame([*((s, t, 2) for s, t in want.items()), ("none", 0.02, 1)], "source string, target_share double, max_repeats int")
+    rows = mixing.mix(docs, targets)[0].collect()
+    total = sum(r["tokens"] * r["uses"] for r in rows)
+    for s, t in want.items():
+        assert sum(r["tokens"] * r["uses"] for r in rows if r["source"] == s) / total >= 0.99 * t
+    assert max(r["uses"] for r in rows) == 2
+
+
 def test_languages():
     en, de = "The pump of the north line is sealed and the valve is open for the night. ", "Die Pumpe der Nordlinie ist dicht und das Ventil ist für die Nacht offen. "
     model = languages.Model({"en": [en * 8] * 4, "de": [de * 8] * 4}, {"en": {"the", "of", "is"}, "de": {"die", "der", "ist", "das"}})
