@@ -2,7 +2,9 @@
 
 Method: tables and lists show in how delimiters line up from line to line, in how markers and indentation recur, and in
 the autocorrelation of line lengths; junk shows in word, symbol and punctuation ratios. Lines are judged one by one in
-the light of their neighbours, and a text is of a kind if more than half of it, by characters, is no prose.
+the light of their neighbours; lines without a marker or delimiter are judged in runs, by punctuation, symbols and function
+words whether they are prose, and by the recurrence of digits, indentation and lengths whether they are a list or a table.
+A text is of a kind if more than half of it, by characters, is no prose.
 
 Null and empty texts have zero statistics and no kind. A text of one line can be junk or a list, but needs MIN_RUN lines
 that line up to be a table. Texts of any length are read whole. Repeated rows of a key count once.
@@ -25,12 +27,15 @@ from pagemill.session import spread, table
 
 #: Neighbouring lines that must agree for a table; for a list one less.
 MIN_RUN = 3
+#: A run without markers and delimiters: fewest lines, longest line, most columns of a table with a cell per line.
+MIN_PLAIN, MAX_PLAIN, MAX_COLUMNS = 4, 60, 8
 #: Most function words that are broadcast.
 MAX_COMMON = 100_000
 
 _WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}]+(?:['’][\p{L}\p{M}]+)*")
 _SYMBOL = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()。，、；：！？…“”‘’「」（）\-]")
 _END = re.compile("[.!?…。！？．؟।:：;；][\"'”’»」』）)\\]]*$")
+_STOP = re.compile("[.!?,;:](?:[\"'”’»)]*$| )|[…。！？．؟।，、；：،؛]")
 _MARKER = re.compile(
     "[ \t]*(?:[-–—•*·▪◦‣●○■□►>+]|\\(?\\d{1,3}[.)、．]|\\(?[A-Za-z][.)]|\\[[ xX✓]?\\]|[☐☑☒✓✗]|[①-⑳㈠-㈩]|\\(?[ivxlIVX]{1,5}[.)]|[一二三四五六七八九十]{1,3}、)"
     "(?=[ \t　 ]|[^\x00-\x7f])"
@@ -131,12 +136,12 @@ def spread_of(lines: list[str]) -> float:
     return float(np.std(n) / max(np.mean(n), 1))
 
 
-def autocorrelation(n: list[int]) -> float:
-    """Of line lengths with those of the next line; 0 for fewer than three lines."""
+def autocorrelation(n: list[int], lag: int = 1) -> float:
+    """Of line lengths with those of the line `lag` further; 0 for too few lines."""
     x = np.array(n, dtype=float)
     x -= x.mean() if len(x) else 0
     v = float(x @ x)
-    return float(x[:-1] @ x[1:]) / v if len(x) > 2 and v else 0.0
+    return float(x[:-lag] @ x[lag:]) / v if len(x) > lag + 1 and v else 0.0
 
 
 def periodicity(lines: list[str]) -> float:
@@ -146,7 +151,40 @@ def periodicity(lines: list[str]) -> float:
     return sum(again) / len(lines) if lines else 0.0
 
 
-def line_kinds(lines: list[str], counts: list[dict[str, int]]) -> list[str]:
+def recurs(values: list, lag: int) -> bool:
+    """Whether values that differ among themselves come again after `lag` lines, but for one in ten."""
+    same = sum(a == b for a, b in zip(values, values[lag:]))
+    return len(set(values[:lag])) > 1 and same >= 0.9 * (len(values) - lag)
+
+
+def plain_kind(lines: list[str], counts: list[dict[str, int]], common: set[str]) -> str:
+    """'list', 'table' or 'prose' for a run of lines without markers and delimiters."""
+    n = len(lines)
+    sizes = [len(x.strip()) for x in lines]
+    if n < MIN_PLAIN or max(sizes) > MAX_PLAIN:
+        return "prose"
+    solid = sum(k["solid"] for k in counts)
+    if sum(k["symbol"] for k in counts) > 0.08 * solid or 4 * sum(bool(_STOP.search(x)) for x in lines) > n:
+        return "prose"
+    words = [_WORD.findall(x) for x in lines]
+    every = [w for x in words for w in x]
+    if not every or sum(w.lower() in common for w in every) > 0.2 * len(every):
+        return "prose"
+    # wrapped text fills all its lines but the last; items are short or differ in length
+    full = 20 if sum(k["latin"] for k in counts) > 0.5 * solid else 12
+    if np.mean(sizes[:-1]) > full and spread_of([x.strip() for x in lines[:-1]]) < 0.2:
+        return "prose"
+    digits = [k["digit"] > 0.4 * k["solid"] for k in counts]
+    indents = [len(x) - len(x.lstrip()) for x in lines]
+    for lag in range(2, min(MAX_COLUMNS, n // MIN_RUN) + 1):
+        if recurs(digits, lag) or recurs(indents, lag) and lag > 2:
+            return "table"
+        if len(set(indents)) == 1 and autocorrelation(sizes, lag) > 0.75 * (n - lag) / n:
+            return "table"
+    return "table" if all(digits) else "list"
+
+
+def line_kinds(lines: list[str], counts: list[dict[str, int]], common: set[str] = frozenset()) -> list[str]:
     """'list', 'table', 'junk' or 'prose' for each line."""
     if len(lines) > 1 and is_junk("\n".join(lines), {f: sum(k[f] for k in counts) for f in FLAGS}):
         return ["junk"] * len(lines)
@@ -166,6 +204,14 @@ def line_kinds(lines: list[str], counts: list[dict[str, int]]) -> list[str]:
             out.append("table")
         else:
             out.append("prose")
+    a = 0
+    while a < len(out):
+        b = a
+        while b < len(out) and out[b] == "prose" and len(lines[b]) <= 2 * MAX_PLAIN:
+            b += 1
+        if b - a >= MIN_PLAIN:
+            out[a:b] = [plain_kind(lines[a:b], counts[a:b], common)] * (b - a)
+        a = max(b, a + 1)
     return out
 
 
@@ -176,7 +222,7 @@ def statistics(text: str | None, common: set[str]) -> dict:
     words = _WORD.findall(text)
     n = len(text)
     counts = counted(lines) if lines else []
-    kinds = line_kinds(lines, counts)
+    kinds = line_kinds(lines, counts, common)
     solid = [k["solid"] for k in counts]
     share = Counter()
     for k, s in zip(kinds, solid):

@@ -68,6 +68,21 @@ def test_quality():
     assert (s["word_count"], s["common_word_share"], s["mean_word_length"]) == (4, 0.5, 3.75)
 
 
+def test_quality_without_markers_and_delimiters():
+    kind = lambda t: quality.statistics(t, {"the", "of", "and", "is", "for", "by", "to", "while"})["kind"]
+    assert kind("hex bolts M8\nspring washers\nflat gasket for the inlet\npump shaft\nrelay\ncontrol cabinet door") == "list"
+    assert kind("流量计\n控制面板支架\n换热器\n北线阀门组\n密封圈") == "list"
+    assert kind("spares\n    shaft seal\n    bearing\n    coupling sleeve\ntools\n    torque wrench\n    gauge\ncleaners\n    brush") == "list"
+    assert kind("Pump\n12\nkg\nValve\n13\nmm\nSensor north\n14\nkg\nRelay\n7\nmm") == "table"
+    assert kind("pump\n      flow\n   water\nvalve\n      steel\n   oil\nsensor\n      zinc\n   air") == "table"
+    for prose in (
+        "The pump in building four is sealed and\ndry and the valve of the north line is\nclosed for the night while the sensor is\nread by the operator on duty",
+        "The pump is sealed\nand the valve is\nclosed for the night\nwhile nobody is there\nto read the sensor",
+        "流量计先于控制面板安装并且需要在维护日志里\n写明安装支架的位置以及上层导轨的编号然后由\n操作员在交接班之前签字确认并把记录送到北线\n的办公室存档",
+    ):
+        assert kind(prose) == ""
+
+
 def test_encoding_round_trip():
     rnd = random.Random(1)
     words = ["étanchéité", "réducteur", "conduite", "équilibre", "série", "contrôle", "après", "la", "à", "über", "Kühlgüter", "Gehäuse", "für", "die", "prüft", "Träger"]
