@@ -185,8 +185,24 @@ def load_yaml(path: str | Path) -> dict:
     return yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
 
 
+#: What each preset is for.
+ABOUT = {
+    "fast": "large chunks, no tables, no reviews: for a first look",
+    "balanced": "tables, reviews of doubtful chunks: the default",
+    "high_quality": "small chunks with wide overlap, strict rules, every chunk reviewed",
+    "expert": "nothing is set: the user's settings alone",
+}
+
+
+def strategy_info(name: str) -> dict:
+    """What there is to know of a preset; an unknown one is not available."""
+    if name not in PRESETS:
+        return {"name": name, "description": "", "available": False, "is_default": False, "settings": {}}
+    return {"name": name, "description": ABOUT[name], "available": True, "is_default": name == DEFAULT_STRATEGY, "settings": copy.deepcopy(PRESETS[name])}
+
+
 def strategies() -> list[dict]:
-    return [{"name": n, "available": True, "is_default": n == DEFAULT_STRATEGY} for n in PRESETS]
+    return [strategy_info(n) for n in PRESETS]
 
 
 # Settings, what they bear on, the recommended value, type, range and unit.

@@ -61,5 +61,13 @@ def run_stats(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
         F.round(F.avg("char_count"), 6).alias("avg_chunk_length"),
         F.round(F.avg("rule_score"), 6).alias("avg_rule_score"),
     )
-    out = b.join(c, "source", "left").fillna(0)
+    c = c.withColumnRenamed("source", "_s")
+    out = b.join(c, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").fillna(0)
     return out.withColumn("acceptance_rate", F.round(F.col("accepted_chunks") * 100.0 / F.greatest("total_chunks", F.lit(1)), 6))
+
+
+def stored_rates(runs: DataFrame) -> DataFrame:
+    """Of stored runs: chunks accepted in percent, and the cost of the reviews."""
+    rate = F.round(F.col("accepted_chunks") * 100.0 / F.greatest("total_chunks", F.lit(1)), 6)
+    cost = F.round(F.col("llm_calls") * COST_PER_CALL, 6)
+    return runs.select("source_file", "total_pages", "total_chunks", rate.alias("acceptance_rate"), cost.alias("llm_cost"))

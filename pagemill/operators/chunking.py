@@ -9,13 +9,14 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.config import Chunking
 from pagemill.functions.text import chunk_id, strip
 from pagemill.operators.parsing import table_text_compact
 from pagemill.operators.windows import page_windows
+from pagemill.session import checkpointed, ranked
 
 _SENTENCE = re.compile("[^。！？.!?]*[。！？.!?]+|[^。！？.!?]+")
 _ZH = re.compile("[一-鿿]")
@@ -87,19 +88,23 @@ def by_sentences(text: str, c: Chunking) -> list[str]:
             out.append(now)
             now = s
         else:
-            now += s
+            now += (" " if now else "") + s
     return [*out, now] if now else out
 
 
 def by_chars(text: str, c: Chunking) -> list[str]:
-    """Windows of 4 x size characters; the next starts 4 x overlap before the end and always moves on."""
+    """Windows of 4 x size characters, blank ones left out; the next starts 4 x overlap before the end and always moves on.
+
+    With boundaries, a window ends after the last mark in its second half or just behind it.
+    """
     width, back, out, start = c.size * 4, c.overlap * 4, [], 0
     while start < len(text):
         end = min(start + width, len(text))
         if c.respect_sentence_boundary and end < len(text):
-            cut = max(text.rfind(m, start + width // 2, end) for m in "。！？.!?\n")
+            cut = max(text.rfind(m, start + width // 2 + 1, end + 1) for m in "。！？.!?\n")
             end = cut + 1 if cut >= 0 else end
-        out.append(text[start:end])
+        if text[start:end].strip():
+            out.append(text[start:end])
         if end == len(text):
             break
         start = max(end - back, start + 1) if back and end - back > 0 else end
@@ -140,33 +145,55 @@ def pieces(items: list[tuple[int, str]], c: Chunking) -> list[dict]:
     return out
 
 
-def window_texts(blocks: DataFrame, batch_size: int = 10) -> DataFrame:
-    """(source, win, items): the texts of each window's pages in order, images left out."""
-    text = F.when(F.col("type") == "text", strip("content_text")).when(F.col("type") == "table", table_text_compact("content_table.rows"))
+def merged_text() -> Column:
+    """What a block adds to its page: stripped text, or a table's compact form; images add nothing."""
+    return F.when(F.col("type") == "text", strip("content_text")).when(F.col("type") == "table", table_text_compact("content_table.rows"))
+
+
+def block_texts(blocks: DataFrame) -> DataFrame:
+    """(source, page, ord, text) of the blocks that hold any."""
+    return blocks.withColumn("text", merged_text()).filter(F.length("text") > 0).select("source", "page", "ord", "text")
+
+
+def page_texts(blocks: DataFrame) -> DataFrame:
+    """(source, page, text): the texts of each page in order, parted by blank lines."""
+    items = F.array_sort(F.collect_list(F.struct("ord", "text")))
+    return block_texts(blocks).groupBy("source", "page").agg(F.array_join(F.transform(items, lambda i: i["text"]), "\n\n").alias("text"))
+
+
+def window_texts(blocks: DataFrame, batch_size: int = 10, pages: DataFrame | None = None) -> DataFrame:
+    """(source, win, items): the texts of each window's pages in order, images left out.
+
+    pages: (source, page) of the blocks before normalization, if `blocks` are those after it.
+    """
     return (
-        blocks.withColumn("text", text)
-        .filter(F.length("text") > 0)
-        .select("source", "page", "ord", "text")
-        .join(page_windows(blocks, batch_size), ["source", "page"])
+        block_texts(blocks)
+        .join(page_windows(blocks if pages is None else pages, batch_size), ["source", "page"])
         .groupBy("source", "win")
         .agg(F.array_sort(F.collect_list(F.struct("page", "ord", "text"))).alias("items"))
     )
 
 
 def chunk_windows(windows: DataFrame, c: Chunking = Chunking()) -> DataFrame:
-    """(source, win, pos, content, token_count, char_count, page_start, page_end)."""
+    """(source, win, chunks): the chunks of each window as an array of (pos, content, sizes, pages)."""
 
     @F.pandas_udf(PIECES)
     def cut(items: pd.Series) -> pd.Series:
         return items.map(lambda x: pieces([(i["page"], i["text"]) for i in x], c))
 
-    return windows.select("source", "win", F.inline(cut("items")))
+    return windows.select("source", "win", cut("items").alias("chunks"))
+
 
+def numbered(windows: DataFrame) -> DataFrame:
+    """The chunks of windows as rows, numbered within their source and named.
 
-def with_chunk_ids(chunks: DataFrame) -> DataFrame:
-    """Number the chunks of a source over its windows and name them."""
-    i = F.row_number().over(Window.partitionBy("source").orderBy("win", "pos"))
-    return chunks.withColumn("idx", i).withColumn("chunk_id", chunk_id("source", "page_start", "page_end", "idx")).drop("idx")
+    What is ranked is one number a window: the chunks in those before it. The chunks are computed and written once.
+    """
+    kept = checkpointed(windows)
+    sizes = kept.select("source", "win", F.size("chunks").alias("n"))
+    before = ranked(sizes, ["source"], ["win"], "before", "n")
+    rows = kept.join(before, ["source", "win"]).select("source", "win", "before", F.inline("chunks"))
+    return rows.withColumn("chunk_id", chunk_id("source", "page_start", "page_end", F.col("before") + F.col("pos") + 1)).drop("before")
 
 
 def split_texts(df: DataFrame, key: str, text: str, c: Chunking) -> DataFrame:

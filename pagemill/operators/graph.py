@@ -14,6 +14,17 @@ REPLY = (
 )
 MIN_CONTENT = 100
 
+# The types that a graph of software architecture is asked for.
+ENTITY_TYPES = ["Method", "Model", "ArchitectureView", "DesignStage", "QualityAttribute", "Concept"]
+RELATION_TYPES = ["includes", "consists_of", "applies_to", "affects", "defines", "compares_with", "belongs_to", "supports"]
+TEMPLATE = (
+    "Extract the entities and relations of software architecture that this text states.\n"
+    f"Entity types: {', '.join(ENTITY_TYPES)}\nRelation types: {', '.join(RELATION_TYPES)}\n"
+    "Leave out what is uncertain; give empty arrays if there is nothing. Answer in JSON alone:\n"
+    '{"entities":[{"name":"","type":"","description":""}],"relations":[{"source":"","relation":"","target":"","confidence":0.9}]}\n\n'
+    "Text:\n{{CHUNK_TEXT}}\n\nJSON:"
+)
+
 
 def prompt(template: str, content: Column | str) -> Column:
     return F.replace(F.lit(template), F.lit("{{CHUNK_TEXT}}"), col(content))

@@ -5,11 +5,12 @@ Null text stays null and is dropped by the validity filter; a block without a bo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.config import Normalization
 from pagemill.functions.text import WS, ZH, col, strip
+from pagemill.session import small_side
 
 # What noise is.
 CONTROL = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]"
@@ -87,6 +88,16 @@ def ocr_confidence(confidence: Column | str, is_ocr: Column | str) -> Column:
     return F.when(col(is_ocr), F.least(col(confidence), F.lit(0.7))).otherwise(col(confidence))
 
 
+# Why the confidence of a text block from character recognition is low.
+OCR_REASON = "OCR extracted"
+
+
+def ocr_reason(metadata: Column | str, is_text: Column) -> Column:
+    """metadata with the reason of low confidence, for text blocks from character recognition."""
+    m = col(metadata)
+    return F.when(is_text & m["is_ocr"], m.withField("low_confidence_reason", F.lit(OCR_REASON))).otherwise(m)
+
+
 def clean_rows(rows: Column | str) -> Column:
     """Every cell of a table without noise and with single spaces; rows are kept."""
     return F.transform(col(rows), lambda r: F.transform(r, lambda x: squeeze_whitespace(strip_noise(x))))
@@ -111,7 +122,8 @@ def normalize_blocks(blocks: DataFrame, n: Normalization = Normalization()) -> D
         {
             "content_text": F.when(is_text, text_of("content_text", n)).otherwise(F.col("content_text")),
             "content_table": F.when(table.isNotNull(), table.withField("rows", clean_rows(table["rows"]))),
-            "confidence": ocr_confidence("confidence", "metadata.is_ocr"),
+            "confidence": F.when(is_text, ocr_confidence("confidence", "metadata.is_ocr")).otherwise(F.col("confidence")),
+            "metadata": ocr_reason("metadata", is_text),
         }
     )
     return out.filter(~is_text | is_valid("content_text", n.min_line_length))
@@ -125,8 +137,17 @@ def header_patterns(blocks: DataFrame, share: float = 0.5) -> DataFrame:
     return found.join(pages, "source").filter(F.col("n") >= share * F.col("pages")).select("source", "pattern", "n")
 
 
-def latest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key of a table with repeated deliveries; they are equal but for when they arrived."""
-    others = [c for c in df.columns if c not in keys]
-    first = Window.partitionBy(*keys).orderBy(F.col("ingested_at").asc_nulls_last())
-    return df.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*keys, *others)
+def first_deliveries(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key of a table, read from files, with repeated deliveries: the earliest by ingested_at (nulls last).
+
+    Only keys, times and places in the files are grouped; of that the few keys that come again are joined back, so rows
+    are not shuffled with their contents. Rows of equal time are told apart by their place. Null keys are keys.
+    """
+    place = F.struct(F.col("ingested_at").isNull().alias("late"), "ingested_at", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    placed = df.select("*", place.alias("_at"))
+    again = placed.groupBy(*keys).agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    again = small_side(again.select(*[F.col(k).alias(f"_{k}") for k in keys], "_first"))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return placed.join(again, same, "left").filter(F.col("_first").isNull() | (F.col("_at") == F.col("_first"))).select(*df.columns)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import col, strip
+from pagemill.session import ranked
 
 
 def block_text(lines: Column | str) -> Column:
@@ -30,10 +31,14 @@ def image_placeholder(xref: Column | str, index: Column | str) -> Column:
 
 
 def with_block_ids(blocks: DataFrame) -> DataFrame:
-    """Number the blocks of a source in page order, one counter for all types."""
-    n = F.row_number().over(Window.partitionBy("source").orderBy("page", "ord"))
+    """Number the blocks of a source in page order, one counter for all types; (source, page, ord) is a key.
+
+    Keys alone are ranked, a large source in ranges; contents follow by a join on the key.
+    """
+    key = ["source", "page", "ord"]
+    n = ranked(blocks.select(*key), ["source"], ["page", "ord"], "_n")
     prefix = F.when(F.col("type") == "text", "block").otherwise(F.col("type"))
-    return blocks.withColumn("block_id", F.format_string("%s_%04d_%04d", prefix, F.col("page"), n))
+    return blocks.join(n, key).withColumn("block_id", F.format_string("%s_%04d_%04d", prefix, F.col("page"), F.col("_n") + 1)).drop("_n")
 
 
 def table_text(rows: Column | str) -> Column:

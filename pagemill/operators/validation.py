@@ -10,10 +10,22 @@ from pyspark.sql import functions as F
 
 from pagemill.config import Config, Llm, Quality
 from pagemill.functions import text as T
+from pagemill.session import small_side
 
 METRICS = ("length", "info_density", "noise_ratio", "garble_ratio", "repetition_ratio")
 
 
+# The weight of each metric in the rule score.
+WEIGHTS = {"length": 0.15, "info_density": 0.25, "noise_ratio": 0.25, "garble_ratio": 0.2, "repetition_ratio": 0.15}
+# The wording of the reasons, which is part of the data.
+TOO_SHORT, THIN, NOISY, GARBLED, REPETITIVE, PASSED = "长度不足: ", "信息密度低: ", "噪声过多: ", "检测到乱码: ", "重复过多: ", "规则校验通过"
+REVIEW_TEMPLATE = (
+    "Judge whether this text is fit for retrieval: is it complete, coherent, informative and free of garbled characters?\n"
+    "---\n{{CHUNK_TEXT}}\n---\n"
+    'Answer in JSON alone: {"quality": "good/low/reject", "confidence": 0.0-1.0, "reason": "in a few words"}'
+)
+
+
 def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are computed once per row: later filters and projections don't repeat their expressions.
 
@@ -51,25 +63,25 @@ def _reach(value: Column, least: float) -> Column:
 
 def rule_score(q: Quality = Quality()) -> Column:
     return (
-        _reach(F.col("length"), q.min_length) * 0.15
-        + _reach(F.col("info_density"), q.min_info_density) * 0.25
-        + _excess(F.col("noise_ratio"), q.max_noise_ratio) * 0.25
-        + _excess(F.col("garble_ratio"), q.max_garble_ratio) * 0.2
-        + _excess(F.col("repetition_ratio"), q.max_repetition_ratio) * 0.15
+        _reach(F.col("length"), q.min_length) * WEIGHTS["length"]
+        + _reach(F.col("info_density"), q.min_info_density) * WEIGHTS["info_density"]
+        + _excess(F.col("noise_ratio"), q.max_noise_ratio) * WEIGHTS["noise_ratio"]
+        + _excess(F.col("garble_ratio"), q.max_garble_ratio) * WEIGHTS["garble_ratio"]
+        + _excess(F.col("repetition_ratio"), q.max_repetition_ratio) * WEIGHTS["repetition_ratio"]
     )
 
 
 def reasons(q: Quality = Quality()) -> Column:
-    """The failed rules in words, as an array; the wording is part of the data."""
+    """The failed rules in words, as an array."""
     two = lambda c: F.format_number(F.col(c), 2)
     n = lambda v: F.lit(str(v))
     return F.array_compact(
         F.array(
-            F.when(F.col("length") < q.min_length, F.concat(F.lit("长度不足: "), F.col("length").cast("string"), F.lit(" < "), n(q.min_length))),
-            F.when(F.col("info_density") < q.min_info_density, F.concat(F.lit("信息密度低: "), two("info_density"), F.lit(" < "), n(q.min_info_density))),
-            F.when(F.col("noise_ratio") > q.max_noise_ratio, F.concat(F.lit("噪声过多: "), two("noise_ratio"), F.lit(" > "), n(q.max_noise_ratio))),
-            F.when(F.col("garble_ratio") > q.max_garble_ratio, F.concat(F.lit("检测到乱码: "), two("garble_ratio"))) if q.garble_enabled else F.lit(None).cast("string"),
-            F.when(F.col("repetition_ratio") > q.max_repetition_ratio, F.concat(F.lit("重复过多: "), two("repetition_ratio"), F.lit(" > "), n(q.max_repetition_ratio))),
+            F.when(F.col("length") < q.min_length, F.concat(F.lit(TOO_SHORT), F.col("length").cast("string"), F.lit(" < "), n(q.min_length))),
+            F.when(F.col("info_density") < q.min_info_density, F.concat(F.lit(THIN), two("info_density"), F.lit(" < "), n(q.min_info_density))),
+            F.when(F.col("noise_ratio") > q.max_noise_ratio, F.concat(F.lit(NOISY), two("noise_ratio"), F.lit(" > "), n(q.max_noise_ratio))),
+            F.when(F.col("garble_ratio") > q.max_garble_ratio, F.concat(F.lit(GARBLED), two("garble_ratio"))) if q.garble_enabled else F.lit(None).cast("string"),
+            F.when(F.col("repetition_ratio") > q.max_repetition_ratio, F.concat(F.lit(REPETITIVE), two("repetition_ratio"), F.lit(" > "), n(q.max_repetition_ratio))),
         )
     )
 
@@ -79,7 +91,7 @@ def validated(chunks: DataFrame, q: Quality = Quality(), content: str = "content
     out = computed(with_metrics(chunks, q, content), {"rule_score": rule_score(q), "_r": reasons(q)})
     failed = F.size("_r")
     quality = F.when((failed >= 2) | (failed > 0) & (F.col("rule_score") < 0.3), "reject").when(failed == 1, "low").otherwise("good")
-    said = F.when(failed > 0, F.array_join("_r", "; ")).otherwise("规则校验通过")
+    said = F.when(failed > 0, F.array_join("_r", "; ")).otherwise(PASSED)
     return computed(out, {"quality": quality, "reason": said}).drop("_r")
 
 
@@ -121,7 +133,9 @@ def prompt_text(content: Column | str, limit: int = 2000) -> Column:
 def reviewed(chunks: DataFrame, ask: Callable[[str], str | None], c: Config = Config(), order: tuple[str, ...] = ("chunk_id",)) -> DataFrame:
     """Merge reviews of the gated chunks within the budget into the rule results; `ask` is the injected client.
 
-    Only gated rows reach Python. A reply replaces the rule's quality; the rule's score stays.
+    Only gated rows reach Python. The budgeted rows are spread over all cores and their replies written before the join,
+    so calls run side by side and none is repeated. A reply replaces the rule's quality; the rule's score stays.
+    Give it chunks that are written or checkpointed: they are read for the gate and for the join.
     """
 
     @F.pandas_udf("string")
@@ -129,7 +143,9 @@ def reviewed(chunks: DataFrame, ask: Callable[[str], str | None], c: Config = Co
         return prompts.map(ask)
 
     gated = within_budget(chunks.filter(needs_review(c)).select("chunk_id", *[o for o in order if o != "chunk_id"], "content"), c.llm.max_calls, list(order))
+    gated = gated.repartition(chunks.sparkSession.sparkContext.defaultParallelism)
     said = gated.select("chunk_id", parsed_reply(replies.asNondeterministic()(prompt_text("content"))).alias("llm"))
+    said = small_side(said)
     out = chunks.join(said, "chunk_id", "left")
     return out.withColumns(
         {
@@ -142,7 +158,7 @@ def reviewed(chunks: DataFrame, ask: Callable[[str], str | None], c: Config = Co
     ).drop("llm")
 
 
-def http_client(llm: Llm, template: str) -> Callable[[str], str | None]:
+def http_client(llm: Llm, template: str = REVIEW_TEMPLATE, predict: int | None = None) -> Callable[[str], str | None]:
     """A client for an Ollama-style endpoint; tries llm.retry_times times and gives None on failure."""
 
     def ask(text: str) -> str | None:
@@ -150,7 +166,7 @@ def http_client(llm: Llm, template: str) -> Callable[[str], str | None]:
         import time
         import urllib.request
 
-        body = {"model": llm.model, "prompt": template.replace("{{CHUNK_TEXT}}", text or ""), "stream": False, "options": {"temperature": llm.temperature}}
+        body = {"model": llm.model, "prompt": template.replace("{{CHUNK_TEXT}}", text or ""), "stream": False, "options": {"temperature": llm.temperature} | ({"num_predict": predict} if predict else {})}
         for _ in range(max(llm.retry_times, 1)):
             try:
                 req = urllib.request.Request(f"{llm.endpoint}/api/generate", json.dumps(body).encode(), {"Content-Type": "application/json"})

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.session import ranked
+
 
 def page_windows(blocks: DataFrame, size: int = 10) -> DataFrame:
     """(source, page, win): each page with the one or two windows it belongs to.
 
     Pages are ranked within their source. With size B > 1 rank r is in window r div (B-1), and where r is a multiple of
-    B-1 also in the one before; with B = 1 a page shares a window with the next one. Pages are few beside their text:
-    the ranking shuffles (source, page) alone.
+    B-1 also in the one before; with B = 1 a page shares a window with the next one. Give it the blocks as they were
+    read: a page whose blocks all vanish later still counts. Only (source, page) is shuffled, a large source in ranges.
     """
-    pages = blocks.select("source", "page").distinct()
-    r = F.row_number().over(Window.partitionBy("source").orderBy("page")) - 1
-    pages = pages.withColumn("r", r)
+    pages = ranked(blocks.select("source", "page").distinct(), ["source"], ["page"], "r")
     if size <= 1:
         # {0}, {0,1}, {1,2}, ..., {n-1}: a page is in the window of its rank and in the next
         wins = F.array(F.col("r"), F.col("r") + 1).cast("array<int>")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagemill import config as C
 from pagemill.functions import text as T
 from pagemill.operators import aggregates, chunking, graph, normalize, parsing, validation, windows
 from pagemill.plans.pipeline import to_chunks
-from pagemill.session import checkpointed, spread, table
+from pagemill.session import checkpointed, ranked, spread, table
 from pagemill.sinks import exports
 from pagemill.sources import blocks as block_sources
 
@@ -32,8 +32,8 @@ def docs(s: SparkSession, d: str) -> DataFrame:
 
 
 def blocks(s: SparkSession, d: str) -> DataFrame:
-    """page_blocks with repeated deliveries dropped; only keys and times are ranked before the rest is read."""
-    return table(s, d, "page_blocks").dropDuplicates(["source", "block_id"])
+    """page_blocks with repeated deliveries dropped; only keys, times and places are shuffled."""
+    return normalize.first_deliveries(table(s, d, "page_blocks"), ["source", "block_id"])
 
 
 def text_blocks(s: SparkSession, d: str) -> DataFrame:
@@ -41,7 +41,12 @@ def text_blocks(s: SparkSession, d: str) -> DataFrame:
 
 
 def chunks(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "chunks").dropDuplicates(["chunk_id"])
+    return normalize.first_deliveries(table(s, d, "chunks"), ["chunk_id"])
+
+
+def spread_chunks(s: SparkSession, d: str) -> DataFrame:
+    """The chunks on all cores, before measures that cost much."""
+    return spread(chunks(s, d))
 
 
 # SQL fragments: white space as Python sees it, and tables without repeated deliveries
@@ -91,7 +96,7 @@ def noise_ratio(s, d):
 
 @query(f"SELECT chunk_id, round({REPEAT('content')}, 6) AS repetition_ratio FROM {CHUNKS} WHERE content IS NOT NULL")
 def repetition_ratio(s, d):
-    return spread(chunks(s, d)).filter("content is not null").select("chunk_id", F.round(T.repetition_ratio("content"), 6).alias("repetition_ratio"))
+    return spread_chunks(s, d).filter("content is not null").select("chunk_id", F.round(T.repetition_ratio("content"), 6).alias("repetition_ratio"))
 
 
 @query(f"SELECT doc_id, i - 1 AS pos, l[i] AS sentence FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {SENTENCES('text')} AS l {FROM_DOCS}))")
@@ -125,10 +130,7 @@ def page_range(s, d):
 )
 def documents_as_pages(s, d):
     b = block_sources.from_documents(docs(s, d)).select("source", "page", F.length("content_text").alias("n"))
-    ids = docs(s, d).select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
-    from pyspark.sql import Window
-
-    ids = ids.withColumn("page", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1)
+    ids = ranked(docs(s, d).select("doc_id", F.coalesce("source", F.lit("")).alias("source")), ["source"], ["doc_id"], "page")
     return ids.join(b, ["source", "page"]).select("source", "doc_id", "page", "n")
 
 
@@ -174,15 +176,32 @@ def table_to_text_compact(s, d):
 
 
 @query(
-    f"""SELECT source, block_id, metadata.font_info.fonts AS fonts, len(metadata.font_info.fonts) AS n_fonts FROM {TEXTS} WHERE metadata.font_info IS NOT NULL""",
+    f"""SELECT source, block_id, list_sort(list_distinct(fonts)) AS fonts, len(fonts)::BIGINT AS n_fonts, round((a + (len(fonts) - 1) * (a + 2)) / len(fonts), 6) AS avg_size,
+    CASE WHEN len(fonts) > 1 THEN a + 2 ELSE a END AS max_size FROM (SELECT source, block_id, metadata.font_info.fonts AS fonts, metadata.font_info.avg_size AS a FROM {TEXTS}
+    WHERE len(metadata.font_info.fonts) > 0 AND metadata.font_info.avg_size IS NOT NULL)""",
     name="font_info",
 )
 def font_info_query(s, d):
-    """Text blocks as page dictionaries of one span per line, read back through the font summary."""
-    font = lambda f: F.struct(F.lit("x").alias("text"), f.alias("font"), F.col("metadata.font_info.avg_size").alias("size"))
-    lines = F.transform("metadata.font_info.fonts", lambda f: F.struct(F.array(font(f)).alias("spans")))
-    rows = text_blocks(s, d).filter("metadata.font_info is not null").select("source", "block_id", parsing.font_info(lines).alias("i"))
-    return rows.select("source", "block_id", "i.fonts", F.size("i.fonts").cast("bigint").alias("n_fonts"))
+    """Text blocks as page dictionaries of a line per font, the first of the mean size and the others two points larger."""
+    size = F.col("metadata.font_info.avg_size")
+    span = lambda f, i: F.struct(F.array(F.struct(F.lit("x").alias("text"), f.alias("font"), F.when(i == 0, size).otherwise(size + 2).alias("size"))).alias("spans"))
+    fonts = F.col("metadata.font_info.fonts")
+    rows = text_blocks(s, d).filter((F.size(fonts) > 0) & size.isNotNull()).select("source", "block_id", F.size(fonts).cast("bigint").alias("n_fonts"), parsing.font_info(F.transform(fonts, span)).alias("i"))
+    return rows.select("source", "block_id", "i.fonts", "n_fonts", F.round("i.avg_size", 6).alias("avg_size"), "i.max_size")
+
+
+@query(f"SELECT source, block_id, '[IMAGE: xref=' || metadata.xref || ', index=' || metadata.image_index || ']' AS text FROM {BLOCKS} WHERE type = 'image' AND metadata.xref IS NOT NULL AND metadata.image_index IS NOT NULL")
+def image_placeholders(s, d):
+    images = blocks(s, d).filter("type = 'image' and metadata.xref is not null and metadata.image_index is not null")
+    return images.select("source", "block_id", parsing.image_placeholder("metadata.xref", "metadata.image_index").alias("text"))
+
+
+@query(f"SELECT source, block_id, replace(content_text, chr(10), '') AS joined FROM {TEXTS}")
+def page_text(s, d):
+    """Each line of a block as spans of one character: joined within the line; here the lines are one."""
+    spans = lambda t: F.transform(F.split(t, ""), lambda x: F.struct(x.alias("text")))
+    lines = F.transform(F.split("content_text", "\n"), lambda l: F.struct(spans(l).alias("spans")))
+    return text_blocks(s, d).select("source", "block_id", F.replace(parsing.block_text(lines), F.lit("\n"), F.lit("")).alias("joined"))
 
 
 # ---- normalization
@@ -256,9 +275,32 @@ def learn_header_patterns(s, d):
     return normalize.header_patterns(blocks(s, d))
 
 
-@query()
+@query(
+    f"""WITH b AS (SELECT *, {STRIP('content_text')} AS t FROM {BLOCKS}), p AS (SELECT source, count(DISTINCT page) AS pages FROM b GROUP BY source),
+    f AS (SELECT source, regexp_replace(t, '\\p{{Nd}}+', 'N', 'g') AS pattern, count(*) AS n FROM b WHERE type = 'text' AND length(t) BETWEEN 1 AND 99 GROUP BY ALL)
+    SELECT source, pattern, n FROM f JOIN p USING (source) WHERE n >= 0.02 * pages"""
+)
+def frequent_short_texts(s, d):
+    """The same with a share that these pages reach."""
+    return normalize.header_patterns(blocks(s, d), 0.02)
+
+
+# the line fold over text without noise; string_split of empty text gives one empty line
+_LINES = f"""list_transform(string_split(regexp_replace(regexp_replace(regexp_replace({NO_NOISE('content_text')}, '([一-鿿])\\n([一-鿿])', '\\1\\2', 'g'), '([一-鿿])\\n([一-鿿])', '\\1\\2', 'g'),
+    '([\\p{{L}}\\p{{N}}_])-\\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g'), chr(10)), lambda x: {STRIP('x')})"""
+
+
+@query(
+    f"""WITH t AS (SELECT *, {STRIP('content_text')} AS t FROM {BLOCKS}),
+    x AS (SELECT source, block_id, confidence, metadata, {_FOLD} AS f FROM (SELECT *, {_LINES} AS l FROM t WHERE type = 'text' AND content_text IS NOT NULL AND NOT {IS_HEADER})),
+    y AS (SELECT source, block_id, confidence, metadata, {SQUEEZE("ltrim(f.done || CASE WHEN f.buf = '' THEN '' ELSE chr(10) || f.buf END, chr(10))")} AS c FROM x)
+    SELECT source, block_id, c AS content_text, CASE WHEN metadata.is_ocr THEN least(confidence, 0.7) ELSE confidence END AS confidence,
+    CASE WHEN metadata.is_ocr THEN 'OCR extracted' ELSE metadata.low_confidence_reason END AS why FROM y WHERE length(c) >= 5
+    UNION ALL SELECT source, block_id, content_text, confidence, metadata.low_confidence_reason FROM t WHERE type <> 'text'"""
+)
 def normalize_blocks(s, d):
-    return normalize.normalize_blocks(blocks(s, d)).select("source", "block_id", "content_text", "confidence")
+    n = normalize.normalize_blocks(blocks(s, d))
+    return n.select("source", "block_id", "content_text", "confidence", F.col("metadata.low_confidence_reason").alias("why"))
 
 
 # ---- windows and chunking
@@ -271,17 +313,33 @@ def page_windows(s, d):
     return windows.page_windows(blocks(s, d), 10)
 
 
-_MERGED = f"""(SELECT source, page, string_agg(t, chr(10) || chr(10) ORDER BY ord) AS text FROM (SELECT source, page, ord, CASE WHEN type = 'text' THEN {STRIP('content_text')}
+_MERGED_BLOCKS = f"""SELECT source, page, ord, CASE WHEN type = 'text' THEN {STRIP('content_text')}
     WHEN type = 'table' THEN array_to_string(list_filter(list_transform(content_table.rows, lambda x:
-    array_to_string(list_transform(list_filter(x, lambda c: coalesce(c, '') <> ''), lambda c: {STRIP('c')}), ' | ')), lambda t: t <> ''), chr(10)) END AS t FROM {BLOCKS}) WHERE t <> '' GROUP BY source, page)"""
+    array_to_string(list_transform(list_filter(x, lambda c: coalesce(c, '') <> ''), lambda c: {STRIP('c')}), ' | ')), lambda t: t <> ''), chr(10)) END AS t FROM {BLOCKS}"""
+_MERGED = f"(SELECT source, page, string_agg(t, chr(10) || chr(10) ORDER BY ord) AS text FROM ({_MERGED_BLOCKS}) WHERE t <> '' GROUP BY source, page)"
 
 
 @query(f"SELECT source, page, text FROM {_MERGED}")
 def merge_pages(s, d):
-    w = chunking.window_texts(blocks(s, d), 1)
-    return w.select("source", F.explode("items").alias("i")).select("source", "i.page", "i.ord", "i.text").distinct().groupBy("source", "page").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "\n\n").alias("text")
-    )
+    return chunking.page_texts(blocks(s, d))
+
+
+@query(f"SELECT source, win, count(*) AS n_texts, sum(length(t))::BIGINT AS chars FROM ({_MERGED_BLOCKS}) JOIN (SELECT source, page, (r // 9)::INT AS win FROM {_RANKED} UNION ALL SELECT source, page, (r // 9 - 1)::INT FROM {_RANKED} WHERE r % 9 = 0 AND r > 0) USING (source, page) WHERE t <> '' GROUP BY ALL")
+def window_texts(s, d):
+    """The texts of each window, counted."""
+    w = chunking.window_texts(blocks(s, d))
+    return w.select("source", "win", F.size("items").cast("bigint").alias("n_texts"), F.aggregate("items", F.lit(0).cast("bigint"), lambda n, i: n + F.length(i["text"])).alias("chars"))
+
+
+@query(
+    f"""WITH w AS (SELECT chunk_id, source, page_start // 10 AS win, row_number() OVER (PARTITION BY source, page_start // 10 ORDER BY page_start, chunk_id DESC) AS pos FROM {CHUNKS} WHERE source IS NOT NULL)
+    SELECT chunk_id FROM w QUALIFY pos < max(pos) OVER (PARTITION BY source, win) OR win = max(win) OVER (PARTITION BY source)"""
+)
+def held_back_chunks(s, d):
+    """Stored chunks in windows of ten pages: all but the last of each window that another follows."""
+    w = chunks(s, d).filter("source is not null").select("chunk_id", "source", F.floor(F.col("page_start") / 10).alias("win"), "page_start")
+    pos = F.row_number().over(Window.partitionBy("source", "win").orderBy("page_start", F.desc("chunk_id")))
+    return windows.held_back(w.withColumn("pos", pos)).select("chunk_id")
 
 
 def _split_query(c: C.Chunking):
@@ -294,17 +352,56 @@ QUERIES["chunk_chars_overlap"] = _split_query(C.Chunking(size=100, overlap=20, s
 QUERIES["chunk_chars"] = _split_query(C.Chunking(size=100, overlap=0, split_by="char", respect_sentence_boundary=False))
 ORACLE["chunk_chars"] = "SELECT doc_id, (unnest(range(0, length(text), 400)) // 400)::INT AS pos, substr(text, unnest(range(0, length(text), 400))::INT + 1, 400) AS piece FROM documents WHERE length(text) > 0"
 QUERIES["chunk_force_split"] = _split_query(C.Chunking(size=50, overlap=10, respect_sentence_boundary=False))
+# the fold as a recursion: sentences joined by a space, which the limit does not count
 ORACLE["chunk_sentences"] = f"""
 WITH RECURSIVE t AS (SELECT doc_id, {SENTENCES('text')} AS l FROM documents WHERE text IS NOT NULL),
 r(doc_id, l, i, cur, pos, emit) AS (
   SELECT doc_id, l, 1, l[1], 0, NULL::VARCHAR FROM t WHERE len(l) > 0
   UNION ALL SELECT doc_id, l, i + 1,
-    CASE WHEN i = len(l) THEN NULL WHEN length(cur) + length(l[i + 1]) > 240 THEN l[i + 1] ELSE cur || l[i + 1] END,
+    CASE WHEN i = len(l) THEN NULL WHEN length(cur) + length(l[i + 1]) > 240 THEN l[i + 1] ELSE cur || ' ' || l[i + 1] END,
     pos + CASE WHEN i = len(l) OR length(cur) + length(l[i + 1]) > 240 THEN 1 ELSE 0 END,
     CASE WHEN i = len(l) OR length(cur) + length(l[i + 1]) > 240 THEN cur END
   FROM r WHERE i <= len(l))
 SELECT doc_id, (pos - 1)::INT AS pos, emit AS piece FROM r WHERE emit IS NOT NULL"""
 
+# the overlap is the longest tail of the piece's sentences within 30 tokens; a sentence over the limit is cut by ideographs
+# first (c), and each of its pieces ends what came before
+_TAIL = f"""(list_reduce(list_prepend({{'s': '', 'n': 0, 'open': true}}, list_transform(list_reverse({SENTENCES('cur')}), lambda x: {{'s': x, 'n': {TOKENS('x')}, 'open': true}})), lambda a, b:
+    CASE WHEN a.open AND a.n + b.n <= 30 THEN {{'s': CASE WHEN a.s = '' THEN b.s ELSE b.s || ' ' || a.s END, 'n': a.n + b.n, 'open': true}} ELSE {{'s': a.s, 'n': a.n, 'open': false}} END)).s"""
+ORACLE["chunk_tokens"] = f"""
+WITH RECURSIVE u AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {SENTENCES('text')} AS l FROM documents WHERE text IS NOT NULL)),
+v AS (SELECT doc_id, i, l[i] AS x, {TOKENS('l[i]')} > 120 AS long FROM u),
+c(doc_id, i, j, rest, piece) AS (
+  SELECT doc_id, i, 0, x, '' FROM v WHERE long
+  UNION ALL SELECT doc_id, i, j + 1, substr(rest, length(h) + 1), kept || h FROM (SELECT *, CASE WHEN {TOKENS('kept')} >= 120 THEN left(rest, 1) ELSE regexp_extract(rest, '^(?:[^一-鿿]*[一-鿿]){{0,' || (120 - {TOKENS('kept')}) || '}}[^一-鿿]*') END AS h
+    FROM (SELECT *, right(piece, (length(piece) * 30 // 120)::INT) AS kept FROM c WHERE rest <> ''))),
+w AS (SELECT doc_id, i, 0 AS j, x, false AS long FROM v WHERE NOT long UNION ALL SELECT doc_id, i, j, piece, true FROM c WHERE j > 0),
+t AS (SELECT doc_id, list(x ORDER BY i, j) AS l, list({TOKENS('x')} ORDER BY i, j) AS k, list(long ORDER BY i, j) AS f FROM w GROUP BY doc_id),
+r(doc_id, l, k, f, i, cur, n, pos, emit) AS (
+  SELECT doc_id, l, k, f, 1, l[1], k[1], 0, NULL::VARCHAR FROM t WHERE len(l) > 0
+  UNION ALL SELECT doc_id, l, k, f, i + 1,
+    CASE WHEN i = len(l) THEN NULL WHEN f[i + 1] THEN l[i + 1] WHEN n + k[i + 1] > 120 THEN {_TAIL} || l[i + 1] ELSE cur || ' ' || l[i + 1] END,
+    CASE WHEN i = len(l) THEN 0 WHEN f[i + 1] THEN k[i + 1] WHEN n + k[i + 1] > 120 THEN {TOKENS(f"({_TAIL} || l[i + 1])")} ELSE n + k[i + 1] END,
+    pos + CASE WHEN f[i + 1] OR n + k[i + 1] > 120 OR i = len(l) AND {TOKENS('cur')} >= 20 THEN 1 ELSE 0 END,
+    CASE WHEN f[i + 1] OR n + k[i + 1] > 120 OR i = len(l) AND {TOKENS('cur')} >= 20 THEN cur END
+  FROM r WHERE i <= len(l))
+SELECT doc_id, (pos - 1)::INT AS pos, emit AS piece FROM r WHERE emit IS NOT NULL"""
+
+ORACLE["chunk_force_split"] = f"""
+WITH RECURSIVE c(doc_id, j, rest, piece) AS (
+  SELECT doc_id, 0, text, '' FROM documents WHERE length(text) > 0
+  UNION ALL SELECT doc_id, j + 1, substr(rest, length(h) + 1), kept || h FROM (SELECT *, CASE WHEN {TOKENS('kept')} >= 50 THEN left(rest, 1) ELSE regexp_extract(rest, '^(?:[^一-鿿]*[一-鿿]){{0,' || (50 - {TOKENS('kept')}) || '}}[^一-鿿]*') END AS h
+    FROM (SELECT *, right(piece, (length(piece) * 10 // 50)::INT) AS kept FROM c WHERE rest <> '')))
+SELECT doc_id, j - 1 AS pos, piece FROM c WHERE j > 0"""
+
+# windows of 400 characters: the last mark in the second half ends one, the next starts 80 characters before its end
+_CUT = "(CASE WHEN b + 400 >= length(text) THEN length(text) ELSE b + coalesce(nullif(201 + length(regexp_extract(substr(text, b + 202, 200), '^(?s:(.*))[。！？.!?\n]', 0)), 201), 400) END)::BIGINT"
+ORACLE["chunk_chars_overlap"] = f"""
+WITH RECURSIVE r(doc_id, text, b, pos, fin, piece) AS (
+  SELECT doc_id, text, 0::BIGINT, -1, length(text) = 0, NULL::VARCHAR FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT doc_id, text, greatest(e - 80, b + 1), pos + 1, e = length(text), substr(text, b + 1, e - b) FROM (SELECT *, {_CUT} AS e FROM r WHERE NOT fin))
+SELECT doc_id, pos, piece FROM r WHERE pos >= 0"""
+
 
 # ---- validation
 
@@ -320,8 +417,7 @@ v AS MATERIALIZED (SELECT *, CASE WHEN k >= 2 OR (k = 1 AND score < 0.3) THEN 'r
 
 
 def valid_chunks(s, d):
-    c = spread(chunks(s, d).select("chunk_id", "source", "content", "page_start", "page_end", "token_count", "char_count"))
-    return validation.validated(c)
+    return validation.validated(spread_chunks(s, d).select("chunk_id", "source", "content", "page_start", "page_end", "token_count", "char_count"))
 
 
 @query(VALID + "SELECT chunk_id, n AS length, round(de, 6) AS info_density, round(no, 6) AS noise_ratio, round(ga, 6) AS garble_ratio, round(re, 6) AS repetition_ratio, round(score, 5) AS rule_score, q AS quality FROM v")
@@ -371,10 +467,23 @@ def llm_parse(s, d):
     return _replies(s, d).select("chunk_id", validation.parsed_reply("reply").alias("p")).select("chunk_id", "p.quality", "p.confidence", "p.reason")
 
 
-@query(VALID + f"SELECT v.chunk_id, coalesce(said, q) AS quality FROM v JOIN {_SAID} s ON v.chunk_id = s.chunk_id")
+def _judge(prompt: str) -> str | None:
+    """Stands for the model: its reply depends on the length of what it is asked about."""
+    n = len(prompt)
+    return None if n % 5 == 0 else f'{{"quality": "{("good", "low", "reject")[n % 3]}", "confidence": 0.{n % 10}, "reason": "n{n}"}}'
+
+
+@query(
+    VALID + """, g AS (SELECT chunk_id, CASE WHEN n > 2000 THEN 2003 ELSE n END AS k FROM v WHERE NOT ((score > 0.6 AND q = 'good') OR score < 0.2) ORDER BY chunk_id LIMIT 400),
+    a AS (SELECT chunk_id, k, CASE k % 3 WHEN 0 THEN 'good' WHEN 1 THEN 'low' ELSE 'reject' END AS said FROM g WHERE k % 5 <> 0)
+    SELECT v.chunk_id, coalesce(said, q) AS quality, said AS llm_quality, coalesce((a.k % 10) / 10.0, 0.0)::DOUBLE AS llm_confidence, coalesce('n' || a.k, reason_text) AS reason,
+    CASE WHEN coalesce(said, q) = 'reject' THEN coalesce('n' || a.k, reason_text) END AS reject_reason FROM v LEFT JOIN a ON v.chunk_id = a.chunk_id"""
+)
 def llm_merge(s, d):
-    said = _replies(s, d).select("chunk_id", validation.parsed_reply("reply").alias("p"))
-    return valid_chunks(s, d).join(said, "chunk_id").select("chunk_id", F.coalesce("p.quality", "quality").alias("quality"))
+    """Reviews of the first 400 gated chunks merged into the rule results, and the reason each rejected one carries."""
+    rows = checkpointed(valid_chunks(s, d).withColumns({"content": F.coalesce("content", F.lit("")), "metadata": F.create_map().cast("map<string,string>")}))
+    ok, bad = validation.routed(validation.reviewed(rows, _judge, C.Config(llm=C.Llm(max_calls=400))))
+    return ok.unionByName(bad).select("chunk_id", "quality", "llm_quality", "llm_confidence", "reason", F.col("metadata")["reject_reason"].alias("reject_reason"))
 
 
 # ---- aggregates
@@ -406,21 +515,23 @@ def report_summary(s, d):
     return aggregates.report_summary(chunks(s, d))
 
 
-@query()
+@query(
+    VALID + f""", b AS (SELECT source, count(DISTINCT page) AS processed_pages, count(*) AS total_blocks, count(*) FILTER (type = 'text') AS text_blocks,
+    count(*) FILTER (type = 'table') AS table_blocks, count(*) FILTER (type = 'image') AS image_blocks FROM {BLOCKS} GROUP BY source),
+    c AS (SELECT source, count(*) AS total_chunks, count(*) FILTER (q <> 'reject') AS accepted_chunks, count(*) FILTER (q = 'reject') AS rejected_chunks,
+    avg(char_count) AS avg_chunk_length, avg(score) AS avg_rule_score FROM v GROUP BY source)
+    SELECT b.*, coalesce(total_chunks, 0) AS total_chunks, coalesce(accepted_chunks, 0) AS accepted_chunks, coalesce(rejected_chunks, 0) AS rejected_chunks,
+    round(coalesce(avg_chunk_length, 0), 6) AS avg_chunk_length, round(coalesce(avg_rule_score, 0), 4) AS avg_rule_score,
+    round(coalesce(accepted_chunks, 0) * 100.0 / greatest(coalesce(total_chunks, 0), 1), 6) AS acceptance_rate FROM b LEFT JOIN c ON b.source IS NOT DISTINCT FROM c.source"""
+)
 def run_stats(s, d):
-    b = blocks(s, d)
-    return aggregates.run_stats(b, checkpointed(to_chunks(b)))
+    """Of the blocks and the stored chunks of each source."""
+    return aggregates.run_stats(blocks(s, d), valid_chunks(s, d)).withColumn("avg_rule_score", F.round("avg_rule_score", 4))
 
 
 @query("SELECT source_file, total_pages, total_chunks, round(accepted_chunks * 100.0 / greatest(total_chunks, 1), 6) AS acceptance_rate, round(llm_calls * 0.001::DOUBLE, 6) AS llm_cost FROM processing_stats")
 def stored_run_rates(s, d):
-    rate = F.round(F.col("accepted_chunks") * 100.0 / F.greatest("total_chunks", F.lit(1)), 6)
-    return table(s, d, "processing_stats").select("source_file", "total_pages", "total_chunks", rate.alias("acceptance_rate"), F.round(F.col("llm_calls") * aggregates.COST_PER_CALL, 6).alias("llm_cost"))
-
-
-@query(VALID + "SELECT source, round(avg(n), 6) AS avg_length, round(avg(score), 5) AS avg_score FROM v GROUP BY source")
-def averages(s, d):
-    return valid_chunks(s, d).groupBy("source").agg(F.round(F.avg("length"), 6).alias("avg_length"), F.round(F.avg("rule_score"), 5).alias("avg_score"))
+    return aggregates.stored_rates(table(s, d, "processing_stats"))
 
 
 # ---- exports

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CSV_COLUMNS = ["chunk_id", "source", "page_start", "page_end", "token_count", "char_count", "rule_score", "llm_quality", "llm_confidence", "content"]
@@ -68,11 +68,16 @@ def milvus_rows(chunks: DataFrame) -> DataFrame:
 
 
 def milvus_document(chunks: DataFrame, path: str, collection: str = "rag_chunks") -> None:
+    """One JSON document of all rows; refused beyond ONE_DOCUMENT rows."""
     rows = [r.asDict() for r in milvus_rows(chunks).limit(ONE_DOCUMENT + 1).collect()]
     if len(rows) > ONE_DOCUMENT:
         raise ValueError(f"more than {ONE_DOCUMENT} rows: write milvus_rows as JSON lines")
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump({"collection_name": collection, "data": rows}, f, ensure_ascii=False, indent=2)
+    write_text(chunks.sparkSession, json.dumps({"collection_name": collection, "data": rows}, ensure_ascii=False, indent=2), path)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small document as a text file in the folder `path`, on whatever file system it names."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def text_rows(chunks: DataFrame) -> DataFrame:

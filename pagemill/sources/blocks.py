@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.schemas import PAGE_BLOCKS
+from pagemill.session import ranked
 
 
 def from_documents(docs: DataFrame) -> DataFrame:
     """One text block a page, one page a document, pages of a source by doc_id; documents without source are one source.
 
-    Only (source, doc_id) is ranked; the text follows by a join on the id, so a large source isn't sorted with its text.
+    Only (source, doc_id) is ranked, a large source in ranges; the text follows by a join on the id.
     """
-    ids = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
-    page = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    pages = ids.withColumn("page", page)
+    pages = ranked(docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source")), ["source"], ["doc_id"], "page")
     types = dict(f.strip().split(" ", 1) for f in ["content_table struct<rows:array<array<string>>,row_count:int,col_count:int>", "bbox array<double>", "block_id string"])
     meta = PAGE_BLOCKS.split("metadata ")[1]
     return docs.select("doc_id", F.col("text").alias("content_text")).join(pages, "doc_id").select(

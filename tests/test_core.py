@@ -136,3 +136,150 @@ def test_streaming(spark, tmp_path):
     for _ in range(2):
         ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def by_hand(blocks, c):
+    """The pipeline without Spark: one page after the other through the buffer, as a plain loop."""
+    out, sources = [], {}
+    for b in blocks:
+        sources.setdefault(b["source"], {}).setdefault(b["page"], []).append(b)
+    for source, pages in sources.items():
+        buffer, n = {}, 0
+
+        def flush():
+            nonlocal n
+            items = [(p, b["text"]) for p in sorted(buffer) for b in sorted(buffer[p], key=lambda b: b["ord"]) if b["kept"]]
+            for r in chunking.pieces(items, c.chunk) if items else []:
+                n += 1
+                out.append((source, n, r["page_start"], r["page_end"], r["content"]))
+
+        for p in sorted(pages):
+            buffer[p] = pages[p]
+            if len(buffer) >= c.runtime.batch_size:
+                flush()
+                buffer = {p: pages[p]}
+        if buffer:
+            flush()
+    return sorted(out)
+
+
+def test_pipeline_against_a_plain_loop(spark):
+    """Windows over pages that vanish in normalization, several windows, two sources."""
+    c = config.Config(chunk=config.Chunking(size=30, overlap=8, min_chunk_size=1), runtime=config.Runtime(batch_size=3))
+    made = []
+    for source in ("a", "b"):
+        for p in range(11):
+            for k in range(2):
+                gone = p in (3, 4, 8) or source == "b" and p == 0
+                text = f"page {p}" if gone else f"The {source} pump number {p} of part {k} is sealed and the valve is open. It was tested. Then it was shipped."
+                made.append({"source": source, "page": p, "ord": k, "text": text, "kept": not gone})
+    rows = [(b["source"], b["page"], b["ord"], "text", b["text"], None, 1.0, None, f"b{b['page']}{b['ord']}", None) for b in made]
+    got = to_chunks(spark.createDataFrame(rows, PAGE_BLOCKS).repartition(5), c)
+    i = F.split("chunk_id", "_")[3].cast("int")
+    assert sorted(tuple(r) for r in got.select("source", i, "page_start", "page_end", "content").collect()) == by_hand(made, c) != []
+
+
+def test_ranked_splits_groups(spark):
+    from pagemill.session import ranked
+
+    rows = [("hot" if i % 3 else None, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, i int").repartition(7)
+    got = {(r["g"], r["i"]): r["rank"] for r in ranked(df, ["g"], ["i"]).collect()}
+    for g in ("hot", None):
+        assert [got[g, i] for h, i in rows if h == g] == list(range(sum(h == g for h, _ in rows)))
+    sums = ranked(df, ["g"], ["i"], "before", "i").filter("i = 6").first()["before"]
+    assert sums == 0 + 3
+    assert ranked(df.filter("false"), ["g"], ["i"]).count() == 0
+
+
+def test_first_deliveries(spark, tmp_path):
+    rows = [("a", "2024-01-02", 1), ("a", "2024-01-01", 2), ("a", None, 3), ("b", "2024-01-01", 4), ("b", "2024-01-01", 4), (None, None, 5), (None, None, 5), ("c", None, 6)]
+    df = spark.createDataFrame(rows, "k string, t string, v int").withColumn("ingested_at", F.col("t").cast("timestamp")).drop("t")
+    df.repartition(3).write.parquet(str(tmp_path / "x"))
+    got = normalize.first_deliveries(spark.read.parquet(str(tmp_path / "x")), ["k"])
+    assert sorted(r["v"] for r in got.collect()) == [2, 4, 5, 6] and got.columns == ["k", "v", "ingested_at"]
+
+
+def test_sentence_and_character_chunks():
+    c = config.Chunking(size=4, overlap=0, split_by="sentence")
+    assert chunking.split("One. Two. Three. Four. Five.", c) == ["One. Two. Three.", "Four. Five."]
+    # the boundary may stand just behind the window
+    assert chunking.split("a" * 8 + "b" * 8 + "。" + "c" * 5, config.Chunking(size=4, overlap=0, split_by="char")) == ["a" * 8 + "b" * 8 + "。", "ccccc"]
+    assert chunking.split(" " * 40, config.Chunking(size=4, overlap=1, split_by="char")) == []
+
+
+def test_run_writes_everything(spark, tmp_path):
+    from pagemill.plans.pipeline import run
+    from pagemill.sources import jsonl
+
+    text = "The pump is sealed and the valve is open. Every part was tested twice before it was shipped. " * 4
+    blocks = [("s", p, 0, "text", f"{text}{p}", None, 1.0, None, f"b{p}", None) for p in range(3)] + [("s", 3, 0, "text", "!?#" * 150, None, 1.0, None, "b3", None)]
+    df = spark.createDataFrame(blocks, PAGE_BLOCKS)
+    c = config.Config(chunk=config.Chunking(size=100, overlap=0, min_chunk_size=1))
+    asked = []
+
+    def ask(prompt):
+        asked.append(prompt)
+        return '{"quality": "reject", "confidence": 0.9, "reason": "no"}' if "#" in prompt else None
+
+    out = str(tmp_path)
+    got = run(df, out, c, ask)
+    assert got["total_chunks"] > got["accepted_chunks"] > 0
+    kept = jsonl.read_chunks(spark, f"{out}/chunks")
+    assert kept.count() == got["accepted_chunks"] and kept.filter("source = 's'").count() == kept.count()
+    assert {r["reason"] for r in jsonl.read_rejected(spark, f"{out}/rejected").collect()} != {"unknown"}
+    assert jsonl.read_blocks(spark, f"{out}/pages").count() == 4
+    assert spark.read.csv(f"{out}/csv", header=True).count() == spark.read.parquet(f"{out}/vectors").count() == got["accepted_chunks"]
+    stats = spark.read.json(f"{out}/stats").first()
+    assert (stats["total_chunks"], stats["processed_pages"], stats["failed_pages"]) == (got["total_chunks"], 4, 0) and stats["duration_seconds"] >= 0
+    assert "Tokens per chunk" in "".join(r[0] for r in spark.read.text(f"{out}/report").collect())
+    assert "chunk_id" in "".join(r[0] for r in spark.read.text(f"{out}/schema").collect())
+    assert spark.read.text(f"{out}/markdown").filter("value like '## chunk_%'").count() == got["accepted_chunks"]
+    assert exports.file_summary(spark, f"{out}/chunks/*.json").agg(F.sum("lines")).first()[0] == got["accepted_chunks"]
+    exports.milvus_document(kept, f"{out}/one")
+    assert "rag_chunks" in "".join(r[0] for r in spark.read.text(f"{out}/one").collect())
+
+
+def test_reviews_are_spread(spark):
+    chunks = spark.createDataFrame([(f"c{i}", "x", "low", 0.5, "why") for i in range(40)], "chunk_id string, content string, quality string, rule_score double, reason string")
+
+    def ask(text):
+        import os
+
+        return f'{{"quality":"good","reason":"{os.getpid()}"}}'
+
+    out = validation.reviewed(chunks, ask, config.Config()).collect()
+    assert len(out) == 40 and len({r["reason"] for r in out}) > 1
+
+
+def test_graph_run(spark, tmp_path):
+    from pagemill.plans.pipeline import extract_graph
+
+    df = spark.createDataFrame([(f"c{i}", f"{i} " + "x" * 120) for i in range(6)] + [("c9", "short"), ("d", None)], "chunk_id string, content string")
+
+    def ask(prompt):
+        if "Entity types" not in prompt or "4 xx" in prompt:
+            return None
+        return 'Well {"entities":[{"name":"A","type":"Model"}],"relations":[{"source":"A","relation":"includes","target":"B"}]}'
+
+    got = {(r["what"], r["type"]): r["n"] for r in extract_graph(df, ask, str(tmp_path)).collect()}
+    assert got == {("entity", "Model"): 1, ("relation", "includes"): 1}
+    assert spark.read.json(str(tmp_path / "entities")).first()["name"] == "A" and spark.read.json(str(tmp_path / "relations")).count() == 1
+
+
+def test_command_line(capsys, tmp_path):
+    from pagemill.__main__ import main, parsed, settings
+
+    assert main(["strategies"]) == 0 and "balanced (default)" in capsys.readouterr().out
+    d = settings(parsed(["run", "--input", "x", "--output", "y", "--strategy", "fast", "--chunk-overlap", "0", "--no-llm"]))
+    assert (d["chunk"]["overlap"], d["chunk"]["size"], d["llm"]["enabled"], d["output"]["dir"]) == (0, 1200, False, "y")
+    assert main(["run", "--input", "x", "--dry-run"]) == 0 and main(["run", "--input", "x", "--chunk-size", "0"]) == 1
+    assert config.strategy_info("fast")["available"] and not config.strategy_info("none")["available"]
+
+
+def test_parsing_of_pages(spark):
+    span = "struct<text:string,font:string,size:double>"
+    df = spark.createDataFrame([([([("a", "F", 10.0), ("b", "G", 12.0)],), ([("c", "F", 8.0)],)],), ([],)], f"lines array<struct<spans:array<{span}>>>")
+    a, b = df.select(parsing.block_text("lines").alias("t"), parsing.font_info("lines").alias("f")).collect()
+    assert (a["t"], a["f"]["fonts"], a["f"]["avg_size"], a["f"]["max_size"]) == ("ab\nc", ["F", "G"], 10.0, 12.0)
+    assert (b["t"], b["f"]["fonts"], b["f"]["avg_size"], b["f"]["max_size"]) == ("", [], 0.0, 0.0)
