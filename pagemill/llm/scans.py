@@ -2,17 +2,22 @@
 
 Method: correction candidates come from character q-gram inverted joins between unknown tokens and the lexicon of the
 sources that were not scanned; gradient-boosted trees rank them and choose replacements, and boosted classifiers of line
-pairs decide on joins and on furniture. Words of alphabetic scripts are looked up by positional bigrams; in Chinese and
-Japanese, where words have no spaces, an unknown character between two known neighbours is looked up by the pair of them.
+pairs (a line and the one beside it, and lines of other pages that read the same) decide on joins and on furniture.
+
+Words of alphabets and syllables are looked up by their rarest bigrams, numbers by the digits that their letters may be;
+in Chinese and Japanese, which have no spaces, an unknown character is looked up by the pair of its neighbours. Thai is
+not searched: it has neither spaces nor characters rare enough. Pages are read twice: first for the distinct tokens, line
+pairs and recurring lines, then for the places of those that were decided on, which a filter of bits finds.
 
 A source is scanned if any of its blocks says so. Null and empty blocks have no issue; a block without a box is judged by
-its text alone; without any unscanned source there is no lexicon and nothing is corrected. Repeated rows count once.
-Training samples are bounded by TRAIN; lexicon, running headers and candidates cover all blocks.
+its text and its order on the page; without any unscanned source there is no lexicon and nothing is corrected. Repeated
+rows count once. Training samples are bounded by TRAIN rows each; lexicon, running headers and candidates cover all blocks.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,12 +31,14 @@ from pyspark.sql import functions as F
 from pagemill.llm.boosting import Boosted
 from pagemill.session import bounded_sample, checkpointed, small_side, spread, table
 
-#: Rows of each training sample.
-TRAIN = 2500
-#: Margins of a page in points: a one-line block above or below holds furniture.
-TOP, BOTTOM = 50.0, 765.0
-#: Least count of a lexicon word that is offered as a correction.
-KNOWN = 3
+#: Rows of each sample that a classifier is trained on, and how many candidates of them.
+TRAIN, TRAIN_CANDIDATES = 2500, 20_000
+#: Bits of the filter that finds places; more keys than it has bits make it slower, never wrong.
+BITS = 26
+#: How sure the ranker must be of an ideograph: most unknown ones among known neighbours are right.
+SURE_GAP = 0.5
+#: Most bigrams whose frequency is known to the order of prefixes; it bears on speed alone.
+FREQUENT = 2000
 
 # Pairs of what stands on the page and what character recognition makes of it.
 CONFUSIONS = [
@@ -42,10 +49,11 @@ CONFUSIONS = [
 ]
 
 _WORD = regex.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-_ALPHABETIC = regex.compile(r"^[\p{Latin}\p{Cyrillic}\p{Greek}0-9'’]+$")
-_LETTER = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}]")
+_ALPHABETIC = regex.compile(r"^[\p{Latin}\p{Cyrillic}\p{Greek}\p{Hangul}\p{Arabic}\p{Devanagari}0-9'’]+$")
+_LETTER = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}\p{Hangul}\p{Arabic}\p{Devanagari}]")
+_DIGIT = str.maketrans("lIO", "110")
 _CODE = re.compile(r"(?:[A-Za-z]{0,4}-?\d[\d.,-]*[A-Za-z]{0,2}|\d+[A-Za-zµ°%]{1,4})$")
-_NUMBER = re.compile(r"(?=[lIO0-9]*[lIO])(?=[lIO]*[0-9]|lO|IO|Ol|ll)[lIO0-9]{2,5}$")
+_NUMBER = re.compile(r"(?=[lIO0-9]*[lIO])(?=[lIO]*[0-9]|lO|IO|Ol|ll)[lIO0-9]{2,}$")
 _HAN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _BREAK = re.compile("([^\\W_]+(?:['’][^\\W_]+)*)([-¬­‐‑])[ \t]*$")
 _START = re.compile("[ \t]*([^\\W\\d_]+)")
@@ -72,13 +80,17 @@ def parts_of(line: str) -> list[str]:
     return [s for p in _SPLIT.split(line) if len(s := skeleton(p)) >= 2 and not _PAGE.match(p)]
 
 
-def line_features(line: str, pages: list[int], margin: list[int]) -> list[float]:
-    """What tells furniture by itself; pages and margin: on how many pages each part recurs, and in margins."""
-    parts = len(pages)
+def part_key(part: str) -> int:
+    return zlib.crc32(part.encode()) | len(part) << 32
+
+
+def line_features(line: str, beside: str, parts: int) -> list[float]:
+    """What tells furniture by itself and against the line beside it."""
     return [
         float(bool(_PAGE.match(line))), float(bool(re.match(r"\W*[\dlIO]{1,4}\b", line)) or bool(re.search(r"\b[\dlIO]{1,4}\W*$", line))),
-        max(margin, default=0), min(margin, default=0), max(pages, default=0), min(pages, default=0), parts, len(line),
-        sum(c.isupper() for c in line) / max(sum(c.isalpha() for c in line), 1), float(bool(_LINE_END.search(line))), float("·" in line or "|" in line),
+        parts, len(line), sum(c.isupper() for c in line) / max(sum(c.isalpha() for c in line), 1), float(bool(_LINE_END.search(line))),
+        float("·" in line or "|" in line), len(beside) / (len(line) + len(beside)), float(beside[:1].islower()), float(line[:1].islower()),
+        float(bool(_BREAK.search(line))),
     ]
 
 
@@ -89,65 +101,128 @@ def words_of(text: str) -> Iterator[str]:
 
 
 def trigrams(text: str) -> Iterator[tuple[int, str]]:
-    """(place, three characters) around each ideograph or kana, white space left out and digits as one."""
-    solid = [(i, "0" if c.isdigit() else c) for i, c in enumerate(text) if not c.isspace()]
+    """(place, three characters) around each ideograph or kana; white space left out, digits as one, radicals as ideographs."""
+    solid = [(i, "0" if c.isdigit() else unicodedata.normalize("NFKC", c) if "⺀" <= c <= "⿕" else c) for i, c in enumerate(text) if not c.isspace()]
     for (_, a), (i, b), (_, c) in zip(solid, solid[1:], solid[2:]):
         if _HAN.match(b):
             yield i, a + b + c
 
 
 def count_lexicon(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(kind, a, n) of words, compounds and trigrams, added up within each batch."""
+    """(kind, a, n) of words, compounds, mixtures of letters and digits, and trigrams, added up within each batch."""
     for b in batches:
         n: Counter = Counter()
         for text in b["content_text"]:
             n.update(("w", w.lower()) for w in words_of(text))
+            n.update(("n", m[0]) for m in _WORD.finditer(text) if _NUMBER.match(m[0]))
             n.update(("h", m[0].lower()) for m in _COMPOUND.finditer(text))
             if _HAN.search(text):
                 n.update(("t", t) for _, t in trigrams(text))
         yield pd.DataFrame([(*k, v) for k, v in n.items()], columns=["kind", "a", "n"])
 
 
-EVENTS = "source string, block_id string, page int, ord int, kind string, line int, n_lines int, a string, b string, c string, zone int"
+def lines_of(text: str) -> list[str]:
+    return [x for x in text.split("\n") if x.strip()]
 
 
-def scan_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What there is to decide in each block: F lines, w words, n numbers, t trigrams, h line pairs that break a word."""
+def looked_at(lines: list[str]) -> Iterator[tuple[str, int, int, str, str, str]]:
+    """(kind, line, start, key, as written, other) of all there is to decide: h line pairs, w words, n numbers, t trigrams.
+
+    Of h, the key is the left part, the mark is `as written` and the right part is `other`; a word that a mark breaks is
+    looked at joined, under its first line and with a start of -1.
+    """
+    carried = ""
+    for i, line in enumerate(lines):
+        broken = _BREAK.search(line) if i + 1 < len(lines) else None
+        start = _START.match(lines[i + 1]) if broken else None
+        end = broken.start() if start else len(line)
+        at = len(carried) if line.startswith(carried) else 0
+        carried = ""
+        if start:
+            carried = start[0]
+            yield "h", i, -1, broken[1], broken[2], start[1]
+            if _ALPHABETIC.match(joined := broken[1] + start[1]):
+                yield "w", i, -1, joined.lower(), joined, ""
+        for m in _WORD.finditer(line, at, end):
+            w, before, after = m[0], line[m.start() - 1 : m.start()], line[m.end() : m.end() + 1]
+            if _NUMBER.match(w):
+                yield "n", i, m.start(), w, w, ""
+            elif len(w) > 1 and before not in "-/_.=+" + "@" * (not before) and after not in "-/_=+" + "@" * (not after) and _ALPHABETIC.match(w) and _LETTER.search(w) and not _CODE.match(w):
+                yield "w", i, m.start(), w.lower(), w, ""
+    whole = "\n".join(lines)
+    if _HAN.search(whole):
+        starts = np.cumsum([0] + [len(x) + 1 for x in lines])
+        for i, t in trigrams(whole):
+            k = int(np.searchsorted(starts, i, side="right")) - 1
+            yield "t", k, i - int(starts[k]), t, whole[i], ""
+
+
+SEEN = "kind string, a string, b string, c string, source string, page int, part bigint, alone int"
+
+
+def observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What occurs, once a batch: tokens, line pairs that may break a word, and P the parts of lines on each page."""
     for b in batches:
-        rows = []
-        for source, block, page, ord_, y0, y1, text in b.itertuples(index=False, name=None):
-            lines = [x for x in text.split("\n") if x.strip()]
-            if not lines:
-                continue
-            zone = -1 if pd.isna(y0) else int(y1 <= TOP or y0 >= BOTTOM)
-            head = (source, block, page, ord_)
-            for i in sorted({0, len(lines) - 1}):
-                if len(lines[i]) <= 130:
-                    rows.append((*head, "F", i, len(lines), lines[i].strip(), "\x1f".join(parts_of(lines[i])), None, zone))
-            carried = ""
-            for i, line in enumerate(lines):
-                broken = _BREAK.search(line) if i + 1 < len(lines) else None
-                start = _START.match(lines[i + 1]) if broken else None
-                body = line[: broken.start()] if start else line
-                if carried:
-                    body = body[len(carried) :] if body.startswith(carried) else body
-                carried = ""
-                if start:
-                    carried = start[0]
-                    rows.append((*head, "h", i, len(lines), broken[1], start[1], broken[2], zone))
-                    if _ALPHABETIC.match(joined := broken[1] + start[1]):
-                        rows.append((*head, "w", i, len(lines), joined.lower(), joined, None, zone))
-                for m in _WORD.finditer(body):
-                    w, before, after = m[0], body[m.start() - 1 : m.start()], body[m.end() : m.end() + 1]
-                    if _NUMBER.match(w):
-                        rows.append((*head, "n", i, len(lines), w, None, None, zone))
-                    elif len(w) > 2 and before not in "-/_.=+" + "@" * (not before) and after not in "-/_=+" + "@" * (not after) and _ALPHABETIC.match(w) and _LETTER.search(w) and not _CODE.match(w):
-                        rows.append((*head, "w", i, len(lines), w.lower(), w, None, zone))
-            if _HAN.search(text):
-                whole = "\n".join(lines)
-                ends = np.cumsum([len(x) + 1 for x in lines])
-                rows += [(*head, "t", int(np.searchsorted(ends, i, side="right")), len(lines), t, None, None, zone) for i, t in trigrams(whole)]
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in EVENTS.split(", ")])
+        tokens: set[tuple] = set()
+        parts: dict[tuple, int] = {}
+        for source, page, zone, text in zip(b["source"], b["page"], b["zone"], b["content_text"]):
+            lines = lines_of(text)
+            tokens.update((k, key, w, other) if k == "h" else (k, key, None, None) for k, _, _, key, w, other in looked_at(lines))
+            for line in lines:
+                for part in parts_of(line):
+                    k = (source, int(page), part_key(part))
+                    parts[k] = max(parts.get(k, 0), int(zone == 1 and len(lines) == 1))
+        rows = [(*t, None, None, None, None) for t in tokens] + [("P", None, None, None, *k, v) for k, v in parts.items()]
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in SEEN.split(", ")]).astype({"page": "Int32", "part": "Int64", "alone": "Int32"})
+
+
+def filter_bits(keys: DataFrame) -> bytes:
+    """A bit for the CRC of each of the keys `k`, in 2**BITS bits; built by the tasks, of fixed size on the driver."""
+    at = F.pmod(F.crc32(F.col("k").cast("binary")), F.lit(1 << BITS)) + 1
+    rows = keys.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m")).collect()
+    out = bytearray(1 << BITS - 3)
+    for r in rows:
+        out[(r["b"] - 1) * 4096 : r["b"] * 4096] = r["m"]
+    return bytes(out)
+
+
+PLACES = (
+    "source string, block_id string, page int, ord int, kind string, line int, start int, n_lines int, a string, b string, c string, "
+    "zone int, x array<float>, parts array<bigint>"
+)
+
+
+def locate(spark: SparkSession, blocks: DataFrame, bits: bytes) -> DataFrame:
+    """The places of what the filter lets through, and F: lines that may be furniture, at the ends of a block or recurring."""
+    shared = spark.sparkContext.broadcast(bits)
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, mask = shared.value, (1 << BITS) - 1
+
+        def let(key: str) -> bool:
+            h = zlib.crc32(key.encode("utf-8", "replace")) & mask
+            return bool(known[h >> 3] >> (h & 7) & 1)
+
+        for b in batches:
+            rows = []
+            for source, block, page, ord_, zone, text in b.itertuples(index=False, name=None):
+                lines = lines_of(text)
+                head = (source, block, page, ord_)
+                for kind, i, at, key, w, other in looked_at(lines):
+                    if let(key_of(kind, key, w, other)):
+                        rows.append((*head, kind, i, at, len(lines), key, w, other, zone, None, None))
+                for i, line in enumerate(lines):
+                    keys = [part_key(p) for p in parts_of(line)]
+                    if i in (0, len(lines) - 1) or _PAGE.match(line) or any(let(f"P\x1f{source}\x1f{k}") for k in keys):
+                        beside = lines[1] if i == 0 and len(lines) > 1 else lines[i - 1] if i else ""
+                        rows.append((*head, "F", i, 0, len(lines), None, None, None, zone, line_features(line.strip(), beside.strip(), len(keys)), keys))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PLACES.split(", ")])
+
+    return blocks.mapInPandas(find, PLACES)
+
+
+def key_of(kind: str, a: str, b: str, c: str) -> str:
+    return "\x1f".join((kind, a, b, c) if kind == "h" else (kind, a))
 
 
 def sample_of(df: DataFrame, columns: list[str], rows: int = TRAIN) -> pd.DataFrame:
@@ -156,69 +231,99 @@ def sample_of(df: DataFrame, columns: list[str], rows: int = TRAIN) -> pd.DataFr
     return bounded_sample(keyed, "_k", rows).select(*columns).toPandas()
 
 
-def furniture(events: DataFrame) -> DataFrame:
-    """(source, block_id, line) of the lines that are running headers, footers or page numbers."""
-    lines = events.filter("kind = 'F'").select("source", "block_id", "page", "ord", "line", "n_lines", "zone", F.col("a").alias("text"), F.split("b", "\x1f").alias("parts"))
-    ends = events.filter("kind = 'F'").groupBy("source", "page").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"))
-    lines = lines.join(ends, ["source", "page"]).withColumn("edge", (F.col("ord") == F.col("lo")) | (F.col("ord") == F.col("hi"))).drop("lo", "hi")
-    part = lines.withColumn("part", F.explode_outer("parts"))
-    seen = (
-        part.filter("part <> ''")
-        .groupBy("source", "part", "page")
-        .agg(F.max(((F.col("zone") == 1) & (F.col("n_lines") == 1)).cast("int")).alias("m"))
-        .groupBy("source", "part")
-        .agg(F.count("*").alias("pages"), F.sum("m").alias("margin"))
-    )
-    key = ["source", "block_id", "line", "n_lines", "zone", "edge", "text"]
-    known = checkpointed(
-        part.join(seen, ["source", "part"], "left")
-        .groupBy(*key)
-        .agg(F.collect_list("pages").alias("pages"), F.collect_list("margin").alias("margin"))
-    )
-    x = lambda d: np.array([line_features(t, list(p), list(m)) for t, p, m in zip(d["text"], d["pages"], d["margin"])], dtype=float).reshape(len(d), 11)
-    good = known.filter("zone = 1 and n_lines = 1")
-    bad = known.filter("zone = 0 and not edge")
-    columns = ["text", "pages", "margin"]
-    a, b = sample_of(good, columns), sample_of(bad, columns)
-    model = Boosted(np.vstack([x(a), x(b)]), np.array([1.0] * len(a) + [0.0] * len(b)))
+def recurring(seen: DataFrame) -> DataFrame:
+    """(source, part, pages, alone): parts of lines that stand on several pages, and on how many in a block of one line."""
+    by_page = seen.filter("kind = 'P'").groupBy("source", "part", "page").agg(F.max("alone").alias("alone"))
+    return by_page.groupBy("source", "part").agg(F.count("*").alias("pages"), F.sum("alone").alias("alone")).filter("pages > 1")
+
+
+def furniture(places: DataFrame, again: DataFrame) -> DataFrame:
+    """(source, block_id, line) of the lines that are running headers, footers or page numbers.
+
+    The classifier sees a line, the one beside it, on how many pages its parts recur, how often in a margin, and the place
+    of its block. It is trained on one-line blocks in margins against lines off the edges of pages; as furniture may be
+    glued to a block or have no box, each sample also counts with other places, which then say nothing.
+    """
+    lines = places.filter("kind = 'F'").select("source", "block_id", "page", "ord", "line", "n_lines", "zone", "x", "parts")
+    key = ["source", "block_id", "line"]
+    met = (
+        lines.select(*key, F.explode("parts").alias("part")).join(again, ["source", "part"]).groupBy(*key)
+        .agg(F.max("pages").alias("most"), F.min("pages").alias("least"), F.max("alone").alias("margin"), F.min("alone").alias("margin_least"), F.count("*").alias("met"))
+    )
+    ends = lines.groupBy("source", "page").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"))
+    every = F.col("met") >= F.col("x")[2]
+    counts = [F.when(F.lit(c in ("most", "margin")) | every, F.col(c)).otherwise(0).cast("float") for c in ("most", "least", "margin", "margin_least")]
+    known = (
+        lines.join(met, key, "left").fillna(0, ["most", "least", "margin", "margin_least", "met"]).join(ends, ["source", "page"])
+        .select(*key, "n_lines", "zone", ((F.col("ord") == F.col("lo")) | (F.col("ord") == F.col("hi"))).alias("edge"), F.concat("x", F.array(*counts)).alias("x"))
+    )
+    known = checkpointed(known.dropDuplicates(key))
+    columns = ["n_lines", "zone", "edge", "x"]
+    good = sample_of(known.filter("n_lines = 1 and zone = 1"), columns)
+    bad = sample_of(known.filter("zone = 0 and not edge"), columns)
+
+    def x(d: pd.DataFrame) -> np.ndarray:
+        own = np.array([list(v) for v in d["x"]], dtype=float).reshape(len(d), 15)
+        return np.column_stack([own, d["n_lines"] == 1, d["zone"], d["edge"]]).astype(float)
+
+    def moved(d: pd.DataFrame, place: dict) -> np.ndarray:
+        """The samples in another place; glued to a block, they get the neighbours that other lines have."""
+        out = x(d.assign(**place))
+        there = x(bad[bad["n_lines"] > 1])
+        if place["n_lines"] == 1 or not len(there):
+            out[:, 7:9] = 0
+        else:
+            out[:, 7:9] = there[np.arange(len(d)) % len(there), 7:9]
+        return out
+
+    elsewhere = [{"n_lines": n, "zone": z, "edge": e} for n in (1, 5) for z in (-1, 0) for e in (True, False)]
+    yes = [x(good), *[moved(good, k) for k in elsewhere if k["n_lines"] == 5 or k["zone"] < 0 and k["edge"]]]
+    no = [x(bad), *[moved(bad, k) for k in elsewhere]]
+    model = Boosted(np.vstack([*yes, *no]), np.array([1.0] * len(yes) * len(good) + [0.0] * len(no) * len(bad)))
 
     @F.pandas_udf("double")
-    def likely(text: pd.Series, pages: pd.Series, margin: pd.Series) -> pd.Series:
-        return pd.Series(model.probability(x(pd.DataFrame({"text": text, "pages": pages, "margin": margin}))))
+    def likely(n_lines: pd.Series, zone: pd.Series, edge: pd.Series, own: pd.Series) -> pd.Series:
+        return pd.Series(model.probability(x(pd.DataFrame(dict(zip(columns, (n_lines, zone, edge, own)))))))
 
-    scored = known.withColumn("p", likely("text", "pages", "margin"))
-    # the box decides for one-line blocks that have one; running headers stand at the edge of a page
-    return scored.filter("(zone = 1 and n_lines = 1) or (p > 0.5 and (n_lines > 1 or (zone = -1 and edge)))").select("source", "block_id", "line").distinct()
+    return known.filter(likely(*columns) > 0.5).select(*key)
 
 
 def break_features(left: str, right: str, mark: str, joined: int, compound: int, l: int, r: int) -> list[float]:
     return [np.log1p(joined), np.log1p(compound), np.log1p(l), np.log1p(r), len(left), len(right), float(right[:1].islower()), float(left[-1:].isupper()), float(mark == "-")]
 
 
-def broken_words(events: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(source, block_id, line, left, right) of the line pairs that break a word by a mark that is no part of it."""
-    pairs = events.filter("kind = 'h'").select("source", "block_id", "line", F.col("a").alias("left"), F.col("b").alias("right"), F.col("c").alias("mark"))
-    words = lexicon.filter("kind = 'w'").select(F.col("a").alias("k"), F.col("n"))
-    whole = lexicon.filter("kind = 'h'").select(F.col("a").alias("k"), F.col("n"))
-    distinct = pairs.select("left", "right", "mark").distinct()
-    for name, key, side in (
-        ("joined", F.concat("left", "right"), words), ("compound", F.concat("left", F.lit("-"), "right"), whole), ("l", F.col("left"), words), ("r", F.col("right"), words),
-    ):
-        distinct = distinct.join(side.select(F.col("k").alias("_k"), F.col("n").alias(name)), F.lower(key) == F.col("_k"), "left").drop("_k").fillna(0, [name])
-    a = sample_of(lexicon.filter(f"kind = 'w' and n >= {KNOWN} and length(a) >= 6 and not a rlike '[0-9]'"), ["a", "n"])
+def broken_words(seen: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(a, b, c): left part, mark and right part of the line pairs that break a word by a mark that is no part of it."""
+    distinct = seen.filter("kind = 'h'").select(F.col("a").alias("left"), F.col("b").alias("mark"), F.col("c").alias("right")).distinct()
+    counts = lexicon.filter("kind in ('w', 'h')").select("kind", F.col("a").alias("k"), "n")
+    asked = F.array(
+        *[F.struct(F.lit(i).alias("i"), F.lit(kind).alias("kind"), F.lower(k).alias("k")) for i, (kind, k) in enumerate(
+            [("w", F.concat("left", "right")), ("h", F.concat("left", F.lit("-"), "right")), ("w", F.col("left")), ("w", F.col("right"))]
+        )]
+    )
+    of = lambda i: F.coalesce(F.max(F.when(F.col("i") == i, F.col("n"))), F.lit(0))
+    distinct = (
+        distinct.select("left", "mark", "right", F.inline(asked)).join(counts, ["kind", "k"], "left").groupBy("left", "mark", "right")
+        .agg(of(0).alias("joined"), of(1).alias("compound"), of(2).alias("l"), of(3).alias("r"))
+    )
+    a = sample_of(lexicon.filter("kind = 'w' and n >= 3 and length(a) >= 6 and not a rlike '[0-9]'"), ["a", "n"])
     b = sample_of(lexicon.filter("kind = 'h'"), ["a", "n"])
-    counts = dict(zip(a["a"], a["n"]))
+    known = dict(zip(a["a"], a["n"]))
     rows, y = [], []
     for i, (w, n) in enumerate(zip(a["a"], a["n"])):
         cut = 2 + zlib.crc32(w.encode()) % (len(w) - 3)
         n = 0 if i % 4 == 0 else n  # as for a word that is misread as well
-        rows.append(break_features(w[:cut], w[cut:], "-", n, 0, counts.get(w[:cut], 0), counts.get(w[cut:], 0)))
+        rows.append(break_features(w[:cut], w[cut:], "-", n, 0, known.get(w[:cut], 0), known.get(w[cut:], 0)))
         y.append(1.0)
     for w, n in zip(b["a"], b["n"]):
         left, _, right = w.partition("-")
         for k in (n, 0):
-            rows.append(break_features(left, right, "-", 0, k, counts.get(left, 5), counts.get(right, 5)))
+            rows.append(break_features(left, right, "-", 0, k, known.get(left, 5), known.get(right, 5)))
             y.append(0.0)
+    # other marks than the hyphen stand at line ends only
+    for w, n in zip(a["a"], a["n"]):
+        rows.append(break_features(w[:3], w[3:], "¬", n, 0, 0, 0))
+        y.append(1.0)
     model = Boosted(np.array(rows, dtype=float).reshape(len(rows), 9), np.array(y))
 
     @F.pandas_udf("double")
@@ -226,9 +331,8 @@ def broken_words(events: DataFrame, lexicon: DataFrame) -> DataFrame:
         x = [break_features(*t) for t in zip(left, right, mark, joined, compound, l, r)]
         return pd.Series(model.probability(np.array(x, dtype=float).reshape(len(x), 9)))
 
-    sure = F.col("mark").isin("¬", "­")
-    found = distinct.withColumn("p", likely("left", "right", "mark", "joined", "compound", "l", "r")).filter(sure | (F.col("p") > 0.5))
-    return pairs.join(found.select("left", "right", "mark"), ["left", "right", "mark"]).select("source", "block_id", "line", "left", "right")
+    p = likely("left", "right", "mark", "joined", "compound", "l", "r")
+    return distinct.filter(p > 0.5).select(F.col("left").alias("a"), F.col("mark").alias("b"), F.col("right").alias("c"))
 
 
 def corrupt(word: str) -> str | None:
@@ -258,52 +362,96 @@ def word_features(token: str, word: str, n: int, shared: int, distance: int, riv
     return [e, distance, np.log1p(n), len(token), shared / (len(token) + 1), rivals, float(any(c.isdigit() for c in token)), float(token[:1] == word[:1]), len(word) - len(token)]
 
 
+def reach(n: int) -> int:
+    """Most edits between a token of that length and its correction."""
+    return 1 if n <= 3 else 2
+
+
+def prefixes(df: DataFrame, frequent: dict[str, int], rank_all: bool) -> DataFrame:
+    """(word, size, gram, place) of the bigrams that suffice to meet every word within reach: the 2 k + 1 rarest.
+
+    An edit destroys at most two bigrams, so two words within k edits share one of the 2 k + 1 first of each in any order
+    of all bigrams; rare ones come first here. A word of the lexicon may be asked for with the reach of a longer token.
+    """
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for w in b["word"]:
+                p = f"#{w}#"
+                grams = sorted((frequent.get(p[i : i + 2], 0), p[i : i + 2], i) for i in range(len(p) - 1))
+                rows += [(w, len(w), g, i) for _, g, i in grams[: 2 * reach(len(w) + rank_all) + 1]]
+            yield pd.DataFrame(rows, columns=["word", "size", "gram", "place"])
+
+    return df.select("word").mapInPandas(cut, "word string, size int, gram string, place int")
+
+
 def candidates(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(token, word, n, shared, distance, rivals) by an inverted join on positional bigrams."""
-
-    def grams(df: DataFrame, c: str, shifts: list[int]) -> DataFrame:
-        padded = F.concat(F.lit("#"), c, F.lit("#"))
-        at = F.sequence(F.lit(1), F.length(c) + 1)
-        g = F.transform(at, lambda i: F.struct(F.substring(padded, i, F.lit(2)).alias("gram"), i.alias("i")))
-        out = df.select("*", F.inline(g)).withColumn("size", F.length(c))
-        return out.select("*", F.explode(F.array(*[F.lit(s) for s in shifts])).alias("s")).withColumn("place", F.col("i") + F.col("s")).drop("i", "s")
-
-    words = lexicon.filter(f"kind = 'w' and n >= {KNOWN} and length(a) between 3 and 40 and not a rlike '[0-9]'").select(F.col("a").alias("word"), "n")
-    left = grams(tokens.select("token").distinct(), "token", [-1, 0, 1]).withColumnRenamed("size", "size_t")
-    right = grams(words, "word", [0])
+    """(token, word, n, shared, distance, rivals) by an inverted join on the rarest bigrams, then verified.
+
+    tokens: (token), distinct. shared is the number of rare bigrams in common.
+    """
+    words = lexicon.filter("kind = 'w' and length(a) > 1 and not a rlike '[0-9]'").select(F.col("a").alias("word"), "n")
+    grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(F.concat(F.lit("#"), "word", F.lit("#")), i, F.lit(2)))).alias("g"))
+    top = grams.groupBy("g").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "g").limit(FREQUENT).collect()
+    frequent = {r["g"]: r["n"] for r in top}
+    left = prefixes(tokens.select(F.col("token").alias("word")), frequent, False).select(F.col("word").alias("token"), F.col("size").alias("size_t"), "gram", F.col("place").alias("place_t"))
+    right = prefixes(words, frequent, True)
+    most = F.when(F.col("size_t") <= 3, 1).otherwise(2)
     near = (
-        left.join(right, ["gram", "place"])
-        .filter((F.abs(F.col("size") - F.col("size_t")) <= 1) & (F.col("token") != F.col("word")))
-        .groupBy("token", "word", "n", "size_t")
-        .agg(F.count("*").alias("shared"))
-        .filter(F.col("shared") >= F.greatest(F.lit(1), F.col("size_t") - 3))
+        left.join(right, "gram")
+        .filter((F.abs(F.col("size") - F.col("size_t")) <= most) & (F.abs(F.col("place") - F.col("place_t")) <= most) & (F.col("token") != F.col("word")))
+        .groupBy("token", "word", "size_t").agg(F.count("*").alias("shared"))
         .withColumn("distance", F.levenshtein("token", "word", 2))
-        .filter(F.col("distance").between(1, 2))
-    )
+        .filter((F.col("distance") > 0) & (F.col("distance") <= most))
+        .join(words, "word")
+    )
     rivals = near.groupBy("token").agg(F.count("*").alias("rivals"))
     return near.join(rivals, "token").select("token", "word", "n", "shared", "distance", "rivals")
 
 
-def word_corrections(events: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(token, word): the replacement of each unknown token that has one, the best-ranked."""
-    spark = events.sparkSession
+WORD = ["token", "word", "n", "shared", "distance", "rivals"]
+
+
+def unknown_tokens(seen: DataFrame, lexicon: DataFrame, kind: str) -> DataFrame:
+    """(token) of that kind that the lexicon has not."""
+    known = lexicon.filter(F.col("kind") == kind).select(F.col("a").alias("token"))
+    return seen.filter(F.col("kind") == kind).select(F.col("a").alias("token")).distinct().join(known, "token", "left_anti")
+
+
+def word_corrections(seen: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(kind, a, new): the replacement of each unknown word or number that has one, the best-ranked.
+
+    The words that the ranker is trained on go through the same join as the unknown ones.
+    """
+    spark = seen.sparkSession
     words = lexicon.filter("kind = 'w'")
-    unknown = events.filter("kind = 'w' and length(a) between 3 and 40").select(F.col("a").alias("token")).distinct().join(words.select(F.col("a").alias("token")), "token", "left_anti")
-    sample = sample_of(words.filter(f"n >= {KNOWN} and length(a) between 4 and 40 and not a rlike '[0-9]'"), ["a"], TRAIN)["a"].tolist()
-    truth = {t: w for w in sample[: len(sample) * 2 // 3] if (t := corrupt(w)) and t != w}
-    valid = sample[len(sample) * 2 // 3 :]  # words that happen to be unknown: no candidate of theirs is right
-    made = spark.createDataFrame([(t,) for t in [*truth, *valid]] or [("",)], "token string").repartition(8)
-    x = lambda d: np.array([word_features(*r) for r in zip(d["token"], d["word"], d["n"], d["shared"], d["distance"], d["rivals"])], dtype=float).reshape(len(d), 9)
-    columns = ["token", "word", "n", "shared", "distance", "rivals"]
-    t = sample_of(candidates(made, lexicon), columns, 20 * TRAIN)
-    model = Boosted(x(t), np.array([float(truth.get(k) == w) for k, w in zip(t["token"], t["word"])]))
+    sample = sample_of(words.filter("n >= 3 and length(a) > 1 and not a rlike '[0-9]'"), ["a"])["a"].tolist()
+    truth = {t: w for i, w in enumerate(sample) if i % 3 < 2 and (t := corrupt(w)) and t != w}
+    valid = set(sample[2::3])  # words that happen to be unknown: no candidate of theirs is right
+    made = spark.createDataFrame([(t,) for t in {*truth, *valid}] or [("",)], "token string")
+    both = unknown_tokens(seen, lexicon, "w").withColumn("real", F.lit(True)).union(made.withColumn("real", F.lit(False)))
+    asked = checkpointed(both.groupBy("token").agg(F.max("real").alias("real"), F.min("real").alias("only")))
+    found = checkpointed(candidates(asked.select("token"), lexicon))
+    t = sample_of(found.join(F.broadcast(made), "token", "left_semi"), WORD, TRAIN_CANDIDATES)
+    x = lambda d: np.array([word_features(*r) for r in zip(*(d[c] for c in WORD))], dtype=float).reshape(len(d), 9)
+    # numbers: letters for digits, as the unscanned sources write hardly any
+    digits = [str(10 + zlib.crc32(w.encode()) % 10 ** (2 + len(w) % 4)) for w in sample[: TRAIN // 8]]
+    numbers = [(d.replace("1", "l").replace("0", "O"), d) for d in digits if "1" in d or "0" in d]
+    names = [(w, w.translate(_DIGIT)) for w in sample if w.translate(_DIGIT) != w]
+    own = pd.DataFrame([(a, b, 0, 0, sum(p != q for p, q in zip(a, b)), 1) for a, b in [*numbers, *names]], columns=WORD)
+    y = [float(truth.get(k) == w) for k, w in zip(t["token"], t["word"])] + [1.0] * len(numbers) + [0.0] * len(names)
+    model = Boosted(np.vstack([x(t), x(own)]), np.array(y))
 
     @F.pandas_udf("double")
     def likely(token: pd.Series, word: pd.Series, n: pd.Series, shared: pd.Series, distance: pd.Series, rivals: pd.Series) -> pd.Series:
-        return pd.Series(model.probability(x(pd.DataFrame(dict(zip(columns, (token, word, n, shared, distance, rivals)))))))
+        return pd.Series(model.probability(x(pd.DataFrame(dict(zip(WORD, (token, word, n, shared, distance, rivals)))))))
 
-    ranked = candidates(unknown, lexicon).withColumn("p", likely(*columns)).filter("p > 0.5")
-    return ranked.groupBy("token").agg(F.max(F.struct("p", "n", "word")).alias("m")).select("token", F.col("m.word").alias("word"))
+    real = found.join(asked.filter("real").select("token"), "token", "left_semi").withColumn("kind", F.lit("w"))
+    mixed = unknown_tokens(seen, lexicon, "n").withColumn("word", F.translate("token", "lIO", "110"))
+    mixed = mixed.withColumn("distance", F.levenshtein("token", "word")).select("token", "word", *[F.lit(0).cast("bigint").alias(c) for c in ("n", "shared")], "distance", F.lit(1).cast("bigint").alias("rivals"), F.lit("n").alias("kind"))
+    ranked = real.select(*WORD, "kind").union(mixed).withColumn("p", likely(*WORD)).filter("p > 0.5")
+    return ranked.groupBy("kind", F.col("token").alias("a")).agg(F.max(F.struct("p", "n", "word")).alias("m")).select("kind", "a", F.col("m.word").alias("new"))
 
 
 GAP = ["token", "char", "n_tri", "n_old", "n_new", "n_left", "n_right", "rivals"]
@@ -312,24 +460,23 @@ GAP = ["token", "char", "n_tri", "n_old", "n_new", "n_left", "n_right", "rivals"
 def gap_candidates(tokens: DataFrame, tri: DataFrame) -> DataFrame:
     """Characters known between the neighbours of an unknown one, by an inverted join on the pair of neighbours."""
     mid = lambda c: F.substring(c, 2, 1)
-    uni = tri.groupBy(mid("a").alias("u")).agg(F.sum("n").alias("k"))
+    uni = small_side(tri.groupBy(mid("a").alias("u")).agg(F.sum("n").alias("k")))  # at most one row a character
     two = tri.groupBy(F.substring("a", 1, 2).alias("u")).agg(F.sum("n").alias("k"))
     two_r = tri.groupBy(F.substring("a", 2, 2).alias("u")).agg(F.sum("n").alias("k"))
     sides = lambda c: F.concat(F.substring(c, 1, 1), F.substring(c, 3, 1))
-    near = tokens.select("token", sides("token").alias("s")).join(tri.select(sides("a").alias("s"), mid("a").alias("char"), F.col("n").alias("n_tri")), "s").filter(mid("token") != F.col("char"))
-    for name, key, side in (
-        ("n_old", mid("token"), uni), ("n_new", F.col("char"), uni), ("n_left", F.substring("token", 1, 2), two), ("n_right", F.substring("token", 2, 2), two_r),
-    ):
-        near = near.join(side.select(F.col("u").alias("_u"), F.col("k").alias(name)), key == F.col("_u"), "left").drop("_u").fillna(0, [name])
+    asked = tokens
+    for name, key, side in (("n_left", F.substring("token", 1, 2), two), ("n_right", F.substring("token", 2, 2), two_r), ("n_old", mid("token"), uni)):
+        asked = asked.join(side.select(F.col("u").alias("_u"), F.col("k").alias(name)), key == F.col("_u"), "left").drop("_u").fillna(0, [name])
+    near = asked.withColumn("s", sides("token")).join(tri.select(sides("a").alias("s"), mid("a").alias("char"), F.col("n").alias("n_tri")), "s").filter(mid("token") != F.col("char"))
+    near = near.join(uni.select(F.col("u").alias("char"), F.col("k").alias("n_new")), "char", "left").fillna(0, ["n_new"])
     rivals = near.groupBy("token").agg(F.count("*").alias("rivals"))
     return near.join(rivals, "token").select(*GAP)
 
 
-def gap_corrections(events: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(token, char): the replacement of the middle character of each unknown trigram that has one."""
-    spark = events.sparkSession
+def gap_corrections(seen: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(kind, a, new): the replacement of the middle character of each unknown trigram that has one."""
+    spark = seen.sparkSession
     tri = lexicon.filter("kind = 't'").select("a", "n")
-    unknown = events.filter("kind = 't'").select(F.col("a").alias("token")).distinct().join(tri.select(F.col("a").alias("token")), "token", "left_anti")
     common = sample_of(tri.filter("n >= 5"), ["a"])["a"].tolist()
     rare = sample_of(tri.filter("n = 1"), ["a"])["a"].tolist()
     others = [t[1] for t in rare] or ["一"]
@@ -339,43 +486,58 @@ def gap_corrections(events: DataFrame, lexicon: DataFrame) -> DataFrame:
         c = chr(0x4E00 + h % 0x51A6) if i % 2 else others[h % len(others)]
         if _HAN.match(t[1]) and c != t[1]:
             truth[t[0] + c + t[2]] = t[1]
-    made = spark.createDataFrame([(t,) for t in [*truth, *rare]] or [("   ",)], "token string").distinct()
-    x = lambda d: np.log1p(np.array(d[GAP[2:]], dtype=float)).reshape(len(d), len(GAP) - 2)
-    t = sample_of(gap_candidates(made, tri), GAP, 20 * TRAIN)
+    made = spark.createDataFrame([(t,) for t in {*truth, *rare}] or [("   ",)], "token string")
+    both = unknown_tokens(seen, lexicon, "t").withColumn("real", F.lit(True)).union(made.withColumn("real", F.lit(False)))
+    asked = checkpointed(both.groupBy("token").agg(F.max("real").alias("real")))
+    found = checkpointed(gap_candidates(asked.select("token"), tri))
+    x = lambda d: np.log1p(np.maximum(np.array(d[GAP[2:]], dtype=float), 0)).reshape(len(d), len(GAP) - 2)
+    t = sample_of(found.join(F.broadcast(made), "token", "left_semi"), GAP, TRAIN_CANDIDATES)
+    left_out = ["n_old", "n_left", "n_right"]
+    t.loc[~t["token"].isin(list(truth)), left_out] -= 1  # a rare trigram counts as if it weren't in the lexicon
     model = Boosted(x(t), np.array([float(truth.get(k) == c) for k, c in zip(t["token"], t["char"])]))
 
     @F.pandas_udf("double")
     def likely(n_tri: pd.Series, n_old: pd.Series, n_new: pd.Series, n_left: pd.Series, n_right: pd.Series, rivals: pd.Series) -> pd.Series:
         return pd.Series(model.probability(x(pd.DataFrame(dict(zip(GAP[2:], (n_tri, n_old, n_new, n_left, n_right, rivals)))))))
 
-    ranked = gap_candidates(unknown, tri).filter("n_left = 0 and n_right = 0").withColumn("p", likely(*GAP[2:])).filter("p > 0.5")
-    return ranked.groupBy("token").agg(F.max(F.struct("p", "n_tri", "char")).alias("m")).select("token", F.col("m.char").alias("char"))
+    real = found.join(asked.filter("real").select("token"), "token", "left_semi")
+    ranked = real.withColumn("p", likely(*GAP[2:])).filter(F.col("p") > SURE_GAP)
+    return ranked.groupBy(F.col("token").alias("a")).agg(F.max(F.struct("p", "n_tri", "char")).alias("m")).select(F.lit("t").alias("kind"), "a", F.col("m.char").alias("new"))
 
 
 def scanned_text(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(text blocks of scanned sources, of the others)."""
     scanned = small_side(blocks.filter("metadata.is_ocr").select("source").distinct())
-    text = blocks.filter("type = 'text' and content_text is not null")
+    text = spread(blocks.filter("type = 'text' and content_text is not null"))
     return text.join(scanned, "source", "left_semi"), text.join(scanned, "source", "left_anti")
 
 
 def issues(blocks: DataFrame) -> dict[str, DataFrame]:
-    """Furniture lines, broken words and misread characters of the scanned blocks, each with its line."""
+    """Furniture lines, broken words and misread characters of the scanned blocks, each with its place."""
+    spark = blocks.sparkSession
     ours, others = scanned_text(blocks)
-    boxed = ours.select("source", "block_id", "page", "ord", F.col("bbox")[1].alias("y0"), F.col("bbox")[3].alias("y1"), "content_text")
-    events = checkpointed(spread(boxed).mapInPandas(scan_blocks, EVENTS).distinct())
-    lexicon = checkpointed(spread(others.select("content_text")).mapInPandas(count_lexicon, "kind string, a string, n bigint").groupBy("kind", "a").agg(F.sum("n").alias("n")))
-    head = checkpointed(furniture(events))
+    y0, y1 = F.get("bbox", F.lit(1)), F.get("bbox", F.lit(3))
+    # a margin is what lies beyond the blocks of several lines, in each source
+    body = small_side(ours.filter(F.size(F.split("content_text", "\n")) >= 3).groupBy("source").agg(F.min(y0).alias("top"), F.max(y1).alias("bottom")))
+    zone = F.when(y0.isNull() | y1.isNull(), -1).when((y1 <= F.col("top")) | (y0 >= F.col("bottom")), 1).otherwise(0)
+    ours = ours.join(body, "source", "left").select("source", "block_id", "page", "ord", zone.alias("zone"), "content_text").filter("page is not null")
+    seen = checkpointed(ours.select("source", "page", "zone", "content_text").mapInPandas(observe, SEEN))
+    lexicon = checkpointed(others.select("content_text").mapInPandas(count_lexicon, "kind string, a string, n bigint").groupBy("kind", "a").agg(F.sum("n").alias("n")))
+    again = checkpointed(recurring(seen))
+    breaks = checkpointed(broken_words(seen, lexicon))
+    fixes = checkpointed(word_corrections(seen, lexicon).union(gap_corrections(seen, lexicon)))
+    keys = (
+        breaks.select(F.concat_ws("\x1f", F.lit("h"), "a", "b", "c").alias("k"))
+        .union(fixes.select(F.concat_ws("\x1f", "kind", "a")))
+        .union(again.select(F.concat_ws("\x1f", F.lit("P"), "source", F.col("part").cast("string"))))
+    )
+    places = checkpointed(locate(spark, ours, filter_bits(keys)).distinct())
+    head = checkpointed(furniture(places, again))
     inside = lambda df: df.join(head, ["source", "block_id", "line"], "left_anti")
     at = ["source", "block_id", "line"]
-    words = events.filter("kind = 'w'").join(word_corrections(events, lexicon), F.col("a") == F.col("token")).select(*at, F.col("b").alias("old"), F.col("word").alias("new"))
-    gaps = events.filter("kind = 't'").join(gap_corrections(events, lexicon), F.col("a") == F.col("token")).select(*at, F.col("token").alias("old"), F.concat(F.substring("token", 1, 1), "char", F.substring("token", 3, 1)).alias("new"))
-    numbers = events.filter("kind = 'n'").select(*at, F.col("a").alias("old"), F.translate("a", "lIO", "110").alias("new"))
-    return {
-        "furniture": head,
-        "hyphen": inside(broken_words(events, lexicon)),
-        "chars": inside(words.union(gaps).union(numbers)),
-    }
+    hyphens = places.filter("kind = 'h'").join(breaks, ["a", "b", "c"], "left_semi").select(*at, F.col("a").alias("left"), F.col("c").alias("right"))
+    chars = places.filter("kind in ('w', 'n', 't')").join(fixes, ["kind", "a"]).select(*at, "kind", "start", F.col("b").alias("old"), "new")
+    return {"furniture": head, "hyphen": inside(hyphens), "chars": inside(chars)}
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,25 +547,44 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2]).distinct()
 
 
+def cased(new: str, old: str) -> str:
+    """A lower-case word in the case of what it replaces."""
+    if old.isupper() and len(old) > 1:
+        return new.upper()
+    return new[:1].upper() + new[1:] if old[:1].isupper() else new
+
+
 def repair(text: str, out: list, breaks: list, changes: list) -> str:
-    """A block without its furniture lines, its broken words joined and misread characters replaced, as paragraphs."""
-    lines, skip = [x.strip() for x in text.split("\n") if x.strip()], set(out or ())
+    """A block without its furniture lines, its broken words joined and misread characters replaced, as paragraphs.
+
+    Each change is made at its own line and place; one with a start of -1 is of a word that a line end breaks.
+    """
+    lines, skip = lines_of(text), set(out or ())
     joins = {(b["line"], b["left"], b["right"]) for b in breaks or ()}
-    whole = ""
+    broken: dict[int, tuple[str, str]] = {}
+    for c in sorted(changes or (), key=lambda c: -c["start"]):
+        i, at, old = c["line"], c["start"], c["old"]
+        new = cased(c["new"], old) if c["kind"] == "w" else c["new"]
+        if at < 0:
+            broken[i] = old, new
+        elif lines[i][at : at + len(old)] == old:
+            lines[i] = lines[i][:at] + new + lines[i][at + len(old) :]
+    whole, before = "", -1
     for i, line in enumerate(lines):
         if i in skip:
             continue
+        line = line.strip()
         m = _BREAK.search(whole)
         start = _START.match(line)
-        if m and start and any(l == m[1] and r == start[1] for _, l, r in joins):
-            whole = whole[: m.end(1)] + line
+        if m and start and any(k == before and l == m[1] and r == start[1] for k, l, r in joins):
+            old, new = broken.get(before, ("", ""))
+            joined = m[1] + start[1]
+            whole = whole[: m.start(1)] + (new if joined == old else joined) + line[start.end() :]
         elif whole and _HAN.match(whole[-1]) and _HAN.match(line):
             whole += line
         else:
             whole += (" " if whole else "") + line
-    for c in changes or ():
-        new = c["new"] if not c["old"][:1].isupper() else c["new"][:1].upper() + c["new"][1:]
-        whole = whole.replace(c["old"], new)
+        before = i
     return whole
 
 
@@ -415,7 +596,7 @@ def p2_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixes = (
         found["furniture"].groupBy(*key).agg(F.sort_array(F.collect_set("line")).alias("furniture"))
         .join(found["hyphen"].groupBy(*key).agg(F.collect_set(F.struct("line", "left", "right")).alias("breaks")), key, "full")
-        .join(found["chars"].groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("old", "new"))).alias("changes")), key, "full")
+        .join(found["chars"].groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("line", "start", "kind", "old", "new"))).alias("changes")), key, "full")
     )
 
     @F.pandas_udf("string")
