@@ -1,10 +1,13 @@
 """p10: a language with a confidence for every document and for every passage in another language.
 
 Method: hierarchical discrimination. The script and its letters predict the language family first; within a family that
-holds several languages, one-versus-one linear support vector machines over character n-grams tell them apart.
+holds several languages, one-versus-one linear support vector machines over character n-grams tell them apart. A family
+of one known language has no machine: its confidence falls with the share of letters that the language's texts lack, so
+that Ukrainian, Persian or traditional ideographs come out as doubtful Russian, Arabic or Chinese.
 
-The machines are trained on a bounded sample of documents whose label names a language of the family (SAMPLE per
-label); passages whose function words contradict the label are left out. Documents are cut into lines and sentences;
+Machines and alphabets are trained on a bounded sample of documents whose label names the language (SAMPLE per spelling
+of the label, of at most SAMPLE_CHARS characters: longer ones are no sample, no text is cut); passages whose function
+words contradict the label are left out. Documents are cut into lines and sentences;
 neighbouring passages of one language are joined. Null, empty and letterless documents have the language "und" with
 confidence 0. Texts are scored whole, whatever their length.
 """
@@ -25,8 +28,12 @@ from pyspark.sql import functions as F
 from pagemill.llm.tables import code_points
 from pagemill.session import spread, table
 
-#: Documents per language label that the machines are trained on, the lowest by hash, and the characters of each.
-SAMPLE, SAMPLE_CHARS = 40, 3000
+#: Documents per language label that the machines are trained on, the lowest by hash, and the length of the longest.
+SAMPLE, SAMPLE_CHARS = 40, 20_000
+#: How fast the confidence of a family's only language falls with the share of letters that it lacks.
+STRANGE = 8.0
+#: Most function words; more are refused.
+MAX_COMMON = 1_000_000
 BUCKETS = 1 << 15
 #: A language counts from so many characters and so large a share of the document, white space left out.
 MIN_CHARS, MIN_SHARE = 100, 0.05
@@ -130,7 +137,15 @@ class Model:
         script_table()
         self.common = common
         self.machines: dict[str, tuple[list[tuple[str, str]], np.ndarray]] = {}
+        self.alphabets: dict[str, np.ndarray] = {}
         for name, family in FAMILIES.items():
+            if len(family) == 1:
+                used = np.zeros(0x110000, dtype=bool)
+                for t in samples.get(family[0], []):
+                    used[_LOWER[points_of(t)]] = True
+                if used.any():
+                    self.alphabets[name] = used
+                continue
             x = {c: [vector(p) for t in samples.get(c, []) for p in self.sure_passages(t, c)] for c in family}
             pairs = [(a, b) for a, b in combinations(family, 2) if x[a] and x[b]]
             if pairs:
@@ -210,12 +225,22 @@ def passages(text: str, model: Model) -> list[list]:
             else:
                 sums = np.zeros((len(rows), len(pairs)), dtype=np.float32)
             found |= dict(zip(rows, model.within(family, sums, (ends - starts)[rows])))
+    for family in {f for f in families if f in model.alphabets}:
+        rows = np.array([k for k, f in enumerate(families) if f == family])
+        letters = scripts > 0
+        sums = np.zeros((2, len(points) + 1), dtype=np.int64)
+        np.cumsum(letters, out=sums[0, 1:])
+        np.cumsum(letters & ~model.alphabets[family][_LOWER[points]], out=sums[1, 1:])
+        starts = np.concatenate([[0], ends[:-1]])
+        n, odd = sums[:, ends[rows]] - sums[:, starts[rows]]
+        sure = 0.99 * np.exp(-STRANGE * odd / np.maximum(n, 1))
+        found |= {k: (FAMILIES[family][0], s) for k, s in zip(rows.tolist(), sure.tolist())}
     out: list[list] = []
     start = 0
     for k, (end, family) in enumerate(zip(ends.tolist(), families)):
         size = int(solid[end] - solid[start])
         last = out[-1] if out else None
-        language, sure = (None, 0.0) if family is None else found.get(k) or (FAMILIES[family][0], 1.0 if len(FAMILIES[family]) == 1 else 0.3)
+        language, sure = (None, 0.0) if family is None else found.get(k) or (FAMILIES[family][0], 0.5 if len(FAMILIES[family]) == 1 else 0.3)
         if last and (
             language is None
             or len(FAMILIES[family]) > 1 and last[2] in FAMILIES[family] and (size < 45 and sure < 0.97 or size < 80 and sure < 0.8)
@@ -253,16 +278,16 @@ def by_script(scripts: np.ndarray, a: int, b: int) -> list[tuple[int, int]]:
 
 
 def samples(docs: DataFrame) -> dict[str, list[str]]:
-    """A bounded sample of documents by the language that their label names, for families of several languages.
+    """A bounded sample of documents by the language that their label names.
 
     The rank limit is applied before the shuffle, so a label on a third of all rows moves no more than any other.
     """
-    wanted = [n for family in FAMILIES.values() if len(family) > 1 for c in family for n in [c, *NAMES[c]]]
+    wanted = [n for family in FAMILIES.values() for c in family for n in [c, *NAMES[c]]]
     label = F.lower(F.trim(F.split("lang", "[-_]")[0]))
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "doc_id"))
     rows = (
-        docs.select("doc_id", label.alias("label"), F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("t"))
-        .filter(F.col("label").isin(wanted) & F.col("t").isNotNull())
+        docs.select("doc_id", label.alias("label"), F.xxhash64("doc_id", "text").alias("h"), F.col("text").alias("t"))
+        .filter(F.col("label").isin(wanted) & (F.length("t") <= SAMPLE_CHARS))
         .withColumn("rank", rank)
         .filter(F.col("rank") <= SAMPLE)
         .select("label", "t")
@@ -275,7 +300,10 @@ def samples(docs: DataFrame) -> dict[str, list[str]]:
 
 def trained(spark: SparkSession, sf_dir: str) -> Model:
     common: dict[str, set[str]] = defaultdict(set)
-    for r in table(spark, sf_dir, "common_words").filter("word is not null").limit(100_000).collect():
+    words = table(spark, sf_dir, "common_words").filter("word is not null").select("lang", "word").distinct()
+    if (n := words.count()) > MAX_COMMON:
+        raise ValueError(f"{n} function words, more than {MAX_COMMON}")
+    for r in words.collect():
         common[r["lang"]].add(r["word"].lower())
     return Model(samples(table(spark, sf_dir, "documents")), common)
 

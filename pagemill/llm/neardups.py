@@ -1,15 +1,19 @@
 """p5: near-duplicate texts, as pairs and as groups.
 
-Method: BK-trees whose children are keyed by integer Hamming distance to the parent. Texts get a 128-bit fingerprint, two
-bits of each of 64 min-hashes of their character shingles, and are sharded by bands of four min-hashes each. Each shard
-holds one tree of at most SHARD fingerprints; queries follow only the edges within RADIUS. Hits that agree in at least
-AGREE of the min-hashes are verified exactly.
+Method: BK-trees whose children are keyed by integer Hamming distance to the parent. A text's code is two bits of each of
+64 min-hashes of its character shingles, as 192 bits in which two texts differ by twice the min-hashes that differ, and
+the logarithm of its number of shingles in unary, LEVELS bits to a factor of e. Similar texts are close in both, so the
+radius has a part of each. Codes are sharded by bands of three min-hashes; each shard holds one tree of at most SHARD
+codes, and queries follow only the edges within the radius. What is hit is verified exactly.
 
-Why not broadcast every tree: fingerprints of all texts have no size bound. A shard's tree goes where its rows are
-shuffled; a hot band is split into several shards and its queries are sent to each of them, which is the broadcast
-confined to that band. Bands overlap: 40 sets of four of the 64 min-hashes, which are those of all shingles alike. A pair
-at 0.7 shares none with a probability of 0.0015 (0.0002 at 0.75) and is beyond RADIUS with one of 0.00001; the measured
-recall is in the README.
+What the tree prunes is mostly texts of another size: min-hash bits of unrelated texts all differ by about the same, so
+no tree can tell them apart by triangles. The README has the share of nodes visited.
+
+Why not broadcast every tree: codes of all texts have no size bound. A shard's tree goes where its rows are shuffled; a
+hot band is cut by size, as similar texts are in the same class of sizes or in the next, and then into shards of which
+each gets the queries of the band and size. Bands overlap: 16 sets of three of the 64 min-hashes, which are those of all
+shingles alike. A pair at 0.7 shares none with a probability of 0.0012 (0.0002 at 0.75) and is beyond the radius with one
+of 0.0003; the measured recall is in the README.
 
 Texts equal but for U+0020, tab, CR and LF are one class; only classes are compared. Null texts and texts with fewer
 than five such characters are similar to nothing, each a class of its own. Repeated rows of a key count once.
@@ -29,12 +33,14 @@ from pyspark.sql import functions as F
 from pagemill.session import checkpointed, small_side, spread, table
 
 SHINGLE, THRESHOLD = 5, 0.7
-HASHES, ROWS, BANDS = 64, 4, 40
-#: Of code(): 29 of the 64 pairs of bits. At 0.7 a pair of bits differs with a probability of 0.225, more than 29 with 0.00001.
-RADIUS = 58
-#: Of the min-hashes, by a byte each; at 0.7 fewer agree with a probability of 0.00001.
-AGREE = 29
-#: Most fingerprints in one tree.
+HASHES, ROWS, BANDS = 64, 3, 16
+#: Min-hashes whose two bits may differ: at 0.7 a pair of bits differs with a probability of 0.225, more than 26 with 0.0003.
+DIFFER = 26
+#: Bits of the unary part for each factor of e in size, and how many similar texts may differ by: sizes of 1 to 0.7.
+LEVELS = 512
+APART = int(LEVELS * 0.3567) + 1
+RADIUS = 2 * DIFFER + APART
+#: Most codes in one tree.
 SHARD = 4000
 
 _rng = np.random.default_rng(20240229)
@@ -78,23 +84,17 @@ def fingerprint(sig: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.packbits((h >> np.uint32(k) & np.uint32(1)).astype(np.uint8)).view(">i8")[0]) for k in (23, 27))
 
 
+def level(p: np.ndarray) -> int:
+    """The size of a text in the unary part of its code: the logarithm of its number of distinct shingles."""
+    return int(LEVELS * np.log(len(np.unique(shingle_hashes(p)))))
+
+
 def code(fp: int, fp2: int) -> int:
     """192 bits whose Hamming distance is twice the number of min-hashes that differ in their two bits."""
     a, b = fp & 0xFFFFFFFFFFFFFFFF, fp2 & 0xFFFFFFFFFFFFFFFF
     return a << 128 | b << 64 | a ^ b
 
 
-def sketch(sig: np.ndarray) -> bytes:
-    """A byte of each min-hash."""
-    return ((sig * np.uint32(0x85EBCA6B)) >> np.uint32(24)).astype(np.uint8).tobytes()
-
-
-def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    """In how many bytes the sketches agree."""
-    x, y = (np.frombuffer(b"".join(c), dtype=np.uint8).reshape(-1, HASHES) for c in (a, b))
-    return pd.Series((x == y).sum(axis=1), dtype="int32")
-
-
 def bands(sig: np.ndarray) -> np.ndarray:
     """A 64-bit key of each band, different for the same values in different bands."""
     s, k = sig[_BAND].astype(np.uint64), _WEIGHT
@@ -105,36 +105,44 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 class BKTree:
-    """Fingerprints by Hamming distance: a node is [fingerprint, ids, {distance: node}]."""
+    """Codes by Hamming distance: a node is [bits, level, ids, {distance: node}].
+
+    The distance is that of the bits and of the unary parts, which is the difference of the levels.
+    """
 
     def __init__(self) -> None:
         self.root: list | None = None
+        self.size = self.visited = 0
 
-    def near(self, fp: int, radius: int) -> Iterator[object]:
+    def near(self, bits: int, at: int) -> Iterator[object]:
+        """The ids of the codes within both parts of the radius."""
         todo = [self.root] if self.root else []
         while todo:
             node = todo.pop()
-            d = (node[0] ^ fp).bit_count()
-            if d <= radius:
-                yield from node[1]
-            todo += [child for k, child in node[2].items() if d - radius <= k <= d + radius]
-
-    def add(self, fp: int, item: object) -> None:
+            self.visited += 1
+            x, y = (node[0] ^ bits).bit_count(), abs(node[1] - at)
+            if x <= 2 * DIFFER and y <= APART:
+                yield from node[2]
+            d = x + y
+            todo += [child for k, child in node[3].items() if d - RADIUS <= k <= d + RADIUS]
+
+    def add(self, bits: int, at: int, item: object) -> None:
+        self.size += 1
         if self.root is None:
-            self.root = [fp, [item], {}]
+            self.root = [bits, at, [item], {}]
             return
         node = self.root
-        while d := (node[0] ^ fp).bit_count():
-            child = node[2].get(d)
+        while d := (node[0] ^ bits).bit_count() + abs(node[1] - at):
+            child = node[3].get(d)
             if child is None:
-                node[2][d] = [fp, [item], {}]
+                node[3][d] = [bits, at, [item], {}]
                 return
             node = child
-        node[1].append(item)
+        node[2].append(item)
 
 
 def signed(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, id, fp, fp2, sketch, bands) of each row that has a shingle; id is the digest of its compact form."""
+    """(key, id, fp, fp2, level, bands) of each row that has a shingle; id is the digest of its compact form."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -143,29 +151,50 @@ def signed(rows: DataFrame, key: str, text: str) -> DataFrame:
                 p = compact(t)
                 if len(p) >= SHINGLE:
                     s = signature(p)
-                    out.append((k, hashlib.md5(p.tobytes()).digest(), *fingerprint(s), sketch(s), bands(s)))
-            yield pd.DataFrame(out, columns=["key", "id", "fp", "fp2", "sketch", "bands"])
+                    out.append((k, hashlib.md5(p.tobytes()).digest(), *fingerprint(s), level(p), bands(s)))
+            yield pd.DataFrame(out, columns=["key", "id", "fp", "fp2", "level", "bands"])
 
     rows = spread(rows.select(key, text).filter(F.col(text).isNotNull()))
-    return rows.mapInPandas(scan, "key string, id binary, fp bigint, fp2 bigint, sketch binary, bands array<bigint>")
+    return rows.mapInPandas(scan, "key string, id binary, fp bigint, fp2 bigint, level int, bands array<bigint>")
 
 
-def hot_bands(reps: DataFrame) -> DataFrame:
-    """(band, n) of bands of more than SHARD rows; n may be too low by SHARD.
+def hot_bands(every: DataFrame) -> DataFrame:
+    """(band) of those that more than SHARD rows may have; every is checkpointed, so its partitions are known.
 
     A band of that many rows has its share of them in some partition, so each partition reports only those.
     """
-    parts = max(reps.rdd.getNumPartitions(), 1)
-    least = max(SHARD // parts, 1)
+    least = max(SHARD // max(every.rdd.getNumPartitions(), 1), 1)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = [np.concatenate(b["bands"].to_list()) for b in batches if len(b)]
         if seen:
             band, n = np.unique(np.concatenate(seen), return_counts=True)
-            yield pd.DataFrame({"band": band[n >= least], "n": n[n >= least]})
+            yield pd.DataFrame({"band": band[n >= least], "n": n[n >= least] + least})
+
+    found = every.select("bands").mapInPandas(count, "band bigint, n bigint")
+    return found.groupBy("band").agg(F.sum("n").alias("n")).filter(F.col("n") > SHARD).select("band")
 
-    found = reps.select("bands").mapInPandas(count, "band bigint, n bigint")
-    return found.groupBy("band").agg(F.sum("n").alias("n")).filter(F.col("n") > SHARD)
+
+def sharded(reps: DataFrame, hot: DataFrame) -> DataFrame:
+    """(shard, rid, fp, fp2, level): each row in its shards; with a negative rid it only asks there.
+
+    In a hot band a row belongs to its class of sizes and asks in the class below; a class of more than SHARD rows is cut
+    further, and a row then also asks in the shards before its own.
+    """
+    each = reps.select("rid", "fp", "fp2", "level", F.explode("bands").alias("band"))
+    cool = each.join(hot, "band", "left_anti").select(F.col("band").alias("shard"), "rid", "fp", "fp2", "level")
+    warm = each.join(hot, "band").withColumn("size", F.floor(F.col("level") / (APART + 1)))
+    cuts = small_side(warm.groupBy("band", "size").agg(F.count("*").alias("n")).select("band", "size", F.ceil(F.col("n") / SHARD).alias("cuts")).filter("cuts > 1"))
+    below = cuts.select("band", (F.col("size") + 1).alias("size"), F.col("cuts").alias("cuts_below"))
+    own = F.pmod(F.xxhash64("rid"), F.coalesce("cuts", F.lit(1)))
+    there = lambda size, k, sign: F.struct(F.xxhash64("band", size, k).alias("shard"), (sign * F.col("rid")).alias("rid"))
+    asks = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("own")), lambda k: there(F.col("size"), k, F.when(k == F.col("own"), 1).otherwise(-1)))
+    asks_below = F.transform(F.sequence(F.lit(0).cast("bigint"), F.coalesce("cuts_below", F.lit(1)) - 1), lambda k: there(F.col("size") - 1, k, F.lit(-1)))
+    warm = (
+        warm.join(cuts, ["band", "size"], "left").join(below, ["band", "size"], "left").withColumn("own", own)
+        .select("fp", "fp2", "level", F.explode(F.concat(asks, asks_below)).alias("at")).select("at.shard", "at.rid", "fp", "fp2", "level")
+    )
+    return cool.union(warm)
 
 
 def tree_hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,14 +220,14 @@ def tree_hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def hits(rows: pd.DataFrame, now: int | None, tree: BKTree) -> tuple[int | None, BKTree, pd.DataFrame]:
     found: dict[tuple[int, int], None] = {}
-    for shard, rid, fp, fp2 in zip(*(rows[c].tolist() for c in ("shard", "rid", "fp", "fp2"))):
+    for shard, rid, fp, fp2, at in zip(*(rows[c].tolist() for c in ("shard", "rid", "fp", "fp2", "level"))):
         if now != shard:
             now, tree = shard, BKTree()
         item, u = abs(rid), code(fp, fp2)
-        for other in tree.near(u, RADIUS):
+        for other in tree.near(u, at):
             found[min(item, other), max(item, other)] = None
         if rid > 0:
-            tree.add(u, item)
+            tree.add(u, at, item)
     return now, tree, pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
 
 
@@ -235,38 +264,15 @@ def class_links(rows: DataFrame, key: str, text: str, threshold: float = THRESHO
     first = every.groupBy("id").agg(F.min("rid").alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = small_side(every.select("id", "rid").join(first, "id").filter("rid <> first").select("rid"))
     reps = every.join(copies, "rid", "left_anti")
-    hot = small_side(hot_bands(reps))
-    own = F.pmod(F.xxhash64("rid"), F.ceil(F.coalesce("n", F.lit(1)) / SHARD)).cast("int")
-    # a hot band is cut into shards: a row joins its own and asks in those before it (a negative number)
-    sharded = (
-        reps.select("rid", "fp", "fp2", F.explode("bands").alias("band"))
-        .join(hot, "band", "left")
-        .withColumn("own", own)
-        .select("rid", "fp", "fp2", "band", "own", F.explode(F.sequence(F.lit(0), "own")).alias("k"))
-        .select(
-            F.when(F.col("k") == 0, F.col("band")).otherwise(F.xxhash64("band", "k")).alias("shard"),
-            F.when(F.col("k") < F.col("own"), -F.col("rid")).otherwise(F.col("rid")).alias("rid"),
-            "fp", "fp2",
-        )
-    )
+    shards = sharded(reps, small_side(hot_bands(every)))
     found = (
-        sharded.repartition("shard")
+        shards.repartition("shard")
         .sortWithinPartitions("shard", F.col("rid").desc())
         .mapInPandas(tree_hits, "a bigint, b bigint")
         .distinct()
     )
     found = checkpointed(found)
     wanted = small_side(found.select(F.col("a").alias("rid")).union(found.select("b")).distinct())
-    sketches = small_side(every.join(wanted, "rid", "left_semi").select("rid", "sketch"))
-    agree = F.pandas_udf(agreement, "int")
-    found = (
-        found.join(sketches.select(F.col("rid").alias("a"), F.col("sketch").alias("sa")), "a")
-        .join(sketches.select(F.col("rid").alias("b"), F.col("sketch").alias("sb")), "b")
-        .filter(agree("sa", "sb") >= AGREE)
-        .select("a", "b")
-    )
-    found = checkpointed(found)
-    wanted = small_side(found.select(F.col("a").alias("rid")).union(found.select("b")).distinct())
     asked = small_side(every.join(wanted, "rid", "left_semi").select("rid", "id", F.col("key").alias(key)))
     texts = checkpointed(rows.select(key, text).join(asked, key).groupBy("rid").agg(F.first("id").alias("id"), F.first(text).alias("t")))
     near = F.pandas_udf(similarity, "double")

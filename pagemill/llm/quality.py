@@ -29,8 +29,8 @@ from pagemill.session import spread, table
 MIN_RUN = 3
 #: A run without markers and delimiters: fewest lines, longest line, most columns of a table with a cell per line.
 MIN_PLAIN, MAX_PLAIN, MAX_COLUMNS = 4, 60, 8
-#: Most function words that are broadcast.
-MAX_COMMON = 100_000
+#: Most function words, which are broadcast; more are refused.
+MAX_COMMON = 1_000_000
 
 _WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}]+(?:['’][\p{L}\p{M}]+)*")
 _SYMBOL = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()。，、；：！？…“”‘’「」（）\-]")
@@ -251,7 +251,10 @@ SCHEMA = (
 
 def measured(df: DataFrame, key: str, text: str, common: DataFrame) -> DataFrame:
     """(key, statistics) of every row."""
-    words = {r["word"].lower() for r in common.filter("word is not null").select("word").distinct().limit(MAX_COMMON).collect()}
+    rows = common.filter("word is not null").select("word").distinct()
+    if (n := rows.count()) > MAX_COMMON:
+        raise ValueError(f"{n} function words, more than {MAX_COMMON}")
+    words = {r["word"].lower() for r in rows.collect()}
     shared = df.sparkSession.sparkContext.broadcast(words)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -21,8 +21,11 @@ QUERIES = {
     "p7_pieces": pieces.p7_pieces,
     "p8_found": leaks.p8_found,
     "p8_spans": leaks.p8_spans,
+    "p8_cleaned": leaks.p8_cleaned,
     "p8_items": leaks.p8_items,
     "p9_mix": mixing.p9_mix,
+    "p9_order": mixing.p9_order,
+    "p9_full_size": mixing.p9_full_size,
     "p9_report": mixing.p9_report,
     "p9_temperature": mixing.p9_temperature,
     "p10_found": languages.p10_found,
@@ -31,4 +34,5 @@ QUERIES = {
 }
 ORACLE = {
     "p7_found": pieces.P7_FOUND_SQL,
+    "p8_found": leaks.P8_FOUND_SQL,
 }

@@ -20,7 +20,8 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm.boosting import Boosted
+from pagemill.llm.tables import code_points
 from pagemill.session import bounded_sample, checkpointed, small_side, spread, table
 
 #: Rows of each sample that a classifier is trained on, and how many candidates of them.
@@ -48,14 +50,18 @@ CONFUSIONS = [
     ("о", "0"), ("з", "3"), ("б", "6"), ("н", "и"), ("и", "н"), ("п", "л"), ("л", "п"), ("ш", "щ"), ("щ", "ш"), ("е", "с"), ("с", "е"), ("ц", "п"), ("т", "г"),
 ]
 
-_WORD = regex.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+#: Marks that belong to the letter before them, in words of Latin, Arabic and Devanagari.
+_MARKS = "\u0300-\u036f\u064b-\u065f\u0670\u0900-\u0903\u093a-\u094f\u0955-\u0957\u0962\u0963"
+_WORD = re.compile(f"(?:[^\\W_]|[{_MARKS}])+(?:['’][^\\W_]+)*")
 _ALPHABETIC = regex.compile(r"^[\p{Latin}\p{Cyrillic}\p{Greek}\p{Hangul}\p{Arabic}\p{Devanagari}0-9'’]+$")
 _LETTER = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}\p{Hangul}\p{Arabic}\p{Devanagari}]")
 _DIGIT = str.maketrans("lIO", "110")
 _CODE = re.compile(r"(?:[A-Za-z]{0,4}-?\d[\d.,-]*[A-Za-z]{0,2}|\d+[A-Za-zµ°%]{1,4})$")
 _NUMBER = re.compile(r"(?=[lIO0-9]*[lIO])(?=[lIO]*[0-9]|lO|IO|Ol|ll)[lIO0-9]{2,}$")
+_DIGITS, _RADICAL = re.compile(r"\d"), re.compile("[⺀-⿕]")
 _HAN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _BREAK = re.compile("([^\\W_]+(?:['’][^\\W_]+)*)([-¬­‐‑])[ \t]*$")
+_BREAKS = tuple("-¬­‐‑")
 _START = re.compile("[ \t]*([^\\W\\d_]+)")
 _COMPOUND = regex.compile(r"[^\W\d_]+-[^\W\d_]+")
 _NUM = "[\\dlIOo|]{1,4}"
@@ -94,84 +100,128 @@ def line_features(line: str, beside: str, parts: int) -> list[float]:
     ]
 
 
-def words_of(text: str) -> Iterator[str]:
-    for m in _WORD.finditer(text):
-        if _ALPHABETIC.match(m[0]) and _LETTER.search(m[0]):
-            yield m[0]
+@lru_cache(1 << 17)
+def is_word(w: str) -> bool:
+    """Whether it is a word of a script with spaces."""
+    return bool(_ALPHABETIC.match(w) and _LETTER.search(w))
 
 
-def trigrams(text: str) -> Iterator[tuple[int, str]]:
-    """(place, three characters) around each ideograph or kana; white space left out, digits as one, radicals as ideographs."""
-    solid = [(i, "0" if c.isdigit() else unicodedata.normalize("NFKC", c) if "⺀" <= c <= "⿕" else c) for i, c in enumerate(text) if not c.isspace()]
-    for (_, a), (i, b), (_, c) in zip(solid, solid[1:], solid[2:]):
-        if _HAN.match(b):
-            yield i, a + b + c
+@lru_cache(1)
+def han_table() -> np.ndarray:
+    return code_points(lambda c: bool(_HAN.match(c)))
+
+
+def points_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def trigrams(text: str) -> tuple[list[int], list[str]]:
+    """(places, three characters) around each ideograph or kana, white space left out, digits as one, radicals as ideographs.
+
+    The places are those among the characters that are no white space.
+    """
+    t = _DIGITS.sub("0", "".join(text.split()))
+    if _RADICAL.search(t):
+        t = "".join(unicodedata.normalize("NFKC", c)[:1] if "⺀" <= c <= "⿕" else c for c in t)
+    at = np.flatnonzero(han_table()[points_of(t)])
+    at = at[(at > 0) & (at < len(t) - 1)].tolist()
+    return at, [t[i - 1 : i + 2] for i in at]
 
 
 def count_lexicon(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(kind, a, n) of words, compounds, mixtures of letters and digits, and trigrams, added up within each batch."""
     for b in batches:
-        n: Counter = Counter()
+        n, words, compounds, tri = Counter(), Counter(), Counter(), Counter()
         for text in b["content_text"]:
-            n.update(("w", w.lower()) for w in words_of(text))
-            n.update(("n", m[0]) for m in _WORD.finditer(text) if _NUMBER.match(m[0]))
-            n.update(("h", m[0].lower()) for m in _COMPOUND.finditer(text))
-            if _HAN.search(text):
-                n.update(("t", t) for _, t in trigrams(text))
-        yield pd.DataFrame([(*k, v) for k, v in n.items()], columns=["kind", "a", "n"])
+            words.update(_WORD.findall(text))
+            if "-" in text:
+                compounds.update(m[0].lower() for m in _COMPOUND.finditer(text))
+            if not text.isascii():
+                tri.update(trigrams(text)[1])
+        for w, k in words.items():
+            if is_word(w):
+                n["w", w.lower()] += k
+            if _NUMBER.match(w):
+                n["n", w] += k
+        rows = [(*k, v) for k, v in n.items()] + [("h", k, v) for k, v in compounds.items()] + [("t", k, v) for k, v in tri.items()]
+        yield pd.DataFrame(rows, columns=["kind", "a", "n"])
 
 
 def lines_of(text: str) -> list[str]:
     return [x for x in text.split("\n") if x.strip()]
 
 
-def looked_at(lines: list[str]) -> Iterator[tuple[str, int, int, str, str, str]]:
-    """(kind, line, start, key, as written, other) of all there is to decide: h line pairs, w words, n numbers, t trigrams.
+def broken_lines(lines: list[str]) -> Iterator[tuple[int, tuple[re.Match, re.Match]]]:
+    """(line, (its broken end, the start of the next)) of the line pairs that may break a word."""
+    for i, line in enumerate(lines[:-1]):
+        if line.rstrip(" \t")[-1:] in _BREAKS and (broken := _BREAK.search(line)) and (start := _START.match(lines[i + 1])):
+            yield i, (broken, start)
 
-    Of h, the key is the left part, the mark is `as written` and the right part is `other`; a word that a mark breaks is
-    looked at joined, under its first line and with a start of -1.
+
+def looked_at(lines: list[str], let: Callable[[str, str], bool]) -> Iterator[tuple[str, int, int, str, str, str]]:
+    """(kind, line, start, key, as written, other) of what `let` lets through by kind and key.
+
+    Kinds are h line pairs, w words, n numbers, t trigrams. Of h, the key is the left part, the mark is `as written` and the
+    right part is `other`; a word that a mark breaks is looked at joined, under its first line and with a start of -1.
     """
-    carried = ""
-    for i, line in enumerate(lines):
-        broken = _BREAK.search(line) if i + 1 < len(lines) else None
-        start = _START.match(lines[i + 1]) if broken else None
-        end = broken.start() if start else len(line)
-        at = len(carried) if line.startswith(carried) else 0
-        carried = ""
-        if start:
-            carried = start[0]
+    breaks = dict(broken_lines(lines))
+    for i, (broken, start) in breaks.items():
+        if let("h", "\x1f".join((broken[1], broken[2], start[1]))):
             yield "h", i, -1, broken[1], broken[2], start[1]
-            if _ALPHABETIC.match(joined := broken[1] + start[1]):
-                yield "w", i, -1, joined.lower(), joined, ""
-        for m in _WORD.finditer(line, at, end):
+        joined = broken[1] + start[1]
+        if is_word(joined) and let("w", joined.lower()):
+            yield "w", i, -1, joined.lower(), joined, ""
+    for i, line in enumerate(lines):
+        some = {w for w in _WORD.findall(line) if (let("n", w) if _NUMBER.match(w) else len(w) > 1 and is_word(w) and let("w", w.lower()))}
+        if not some:
+            continue
+        end = breaks[i][0].start() if i in breaks else len(line)
+        carried = breaks[i - 1][1][0] if i - 1 in breaks else ""
+        for m in _WORD.finditer(line, len(carried), end):
             w, before, after = m[0], line[m.start() - 1 : m.start()], line[m.end() : m.end() + 1]
+            if w not in some:
+                continue
             if _NUMBER.match(w):
                 yield "n", i, m.start(), w, w, ""
-            elif len(w) > 1 and before not in "-/_.=+" + "@" * (not before) and after not in "-/_=+" + "@" * (not after) and _ALPHABETIC.match(w) and _LETTER.search(w) and not _CODE.match(w):
+            elif before not in "-/_.=+" + "@" * (not before) and after not in "-/_=+" + "@" * (not after) and not _CODE.match(w):
                 yield "w", i, m.start(), w.lower(), w, ""
     whole = "\n".join(lines)
-    if _HAN.search(whole):
-        starts = np.cumsum([0] + [len(x) + 1 for x in lines])
-        for i, t in trigrams(whole):
-            k = int(np.searchsorted(starts, i, side="right")) - 1
-            yield "t", k, i - int(starts[k]), t, whole[i], ""
+    if not whole.isascii():
+        at, found = trigrams(whole)
+        picked = [k for k, t in enumerate(found) if let("t", t)]
+        if picked:
+            places = np.array([i for i, c in enumerate(whole) if not c.isspace()])[[at[k] for k in picked]]
+            starts = np.cumsum([0] + [len(x) + 1 for x in lines])
+            rows = np.searchsorted(starts, places, side="right") - 1
+            for k, r, at_line, w in zip(picked, rows.tolist(), (places - starts[rows]).tolist(), places.tolist()):
+                yield "t", r, at_line, found[k], whole[w], ""
 
 
 SEEN = "kind string, a string, b string, c string, source string, page int, part bigint, alone int"
 
 
 def observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What occurs, once a batch: tokens, line pairs that may break a word, and P the parts of lines on each page."""
+    """What occurs, once a batch: tokens (some that locate passes over), line pairs that may break a word, and P the parts
+    of lines on each page."""
     for b in batches:
-        tokens: set[tuple] = set()
+        words: set[str] = set()
+        tri: set[str] = set()
+        pairs: set[tuple] = set()
         parts: dict[tuple, int] = {}
         for source, page, zone, text in zip(b["source"], b["page"], b["zone"], b["content_text"]):
             lines = lines_of(text)
-            tokens.update((k, key, w, other) if k == "h" else (k, key, None, None) for k, _, _, key, w, other in looked_at(lines))
+            words.update(_WORD.findall(text))
+            if not text.isascii():
+                tri.update(trigrams(text)[1])
+            for _, (broken, start) in broken_lines(lines):
+                pairs.add((broken[1], broken[2], start[1]))
+                words.add(broken[1] + start[1])
             for line in lines:
                 for part in parts_of(line):
                     k = (source, int(page), part_key(part))
                     parts[k] = max(parts.get(k, 0), int(zone == 1 and len(lines) == 1))
+        tokens = {("w", w.lower(), None, None) for w in words if len(w) > 1 and is_word(w)} | {("n", w, None, None) for w in words if _NUMBER.match(w)}
+        tokens |= {("t", t, None, None) for t in tri} | {("h", *p) for p in pairs}
         rows = [(*t, None, None, None, None) for t in tokens] + [("P", None, None, None, *k, v) for k, v in parts.items()]
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in SEEN.split(", ")]).astype({"page": "Int32", "part": "Int64", "alone": "Int32"})
 
@@ -199,8 +249,9 @@ def locate(spark: SparkSession, blocks: DataFrame, bits: bytes) -> DataFrame:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, mask = shared.value, (1 << BITS) - 1
 
-        def let(key: str) -> bool:
-            h = zlib.crc32(key.encode("utf-8", "replace")) & mask
+        @lru_cache(1 << 17)
+        def let(kind: str, key: str) -> bool:
+            h = zlib.crc32(f"{kind}\x1f{key}".encode("utf-8", "replace")) & mask
             return bool(known[h >> 3] >> (h & 7) & 1)
 
         for b in batches:
@@ -208,12 +259,10 @@ def locate(spark: SparkSession, blocks: DataFrame, bits: bytes) -> DataFrame:
             for source, block, page, ord_, zone, text in b.itertuples(index=False, name=None):
                 lines = lines_of(text)
                 head = (source, block, page, ord_)
-                for kind, i, at, key, w, other in looked_at(lines):
-                    if let(key_of(kind, key, w, other)):
-                        rows.append((*head, kind, i, at, len(lines), key, w, other, zone, None, None))
+                rows += [(*head, kind, i, at, len(lines), key, w, other, zone, None, None) for kind, i, at, key, w, other in looked_at(lines, let)]
                 for i, line in enumerate(lines):
                     keys = [part_key(p) for p in parts_of(line)]
-                    if i in (0, len(lines) - 1) or _PAGE.match(line) or any(let(f"P\x1f{source}\x1f{k}") for k in keys):
+                    if i in (0, len(lines) - 1) or _PAGE.match(line) or any(let("P", f"{source}\x1f{k}") for k in keys):
                         beside = lines[1] if i == 0 and len(lines) > 1 else lines[i - 1] if i else ""
                         rows.append((*head, "F", i, 0, len(lines), None, None, None, zone, line_features(line.strip(), beside.strip(), len(keys)), keys))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PLACES.split(", ")])
@@ -221,10 +270,6 @@ def locate(spark: SparkSession, blocks: DataFrame, bits: bytes) -> DataFrame:
     return blocks.mapInPandas(find, PLACES)
 
 
-def key_of(kind: str, a: str, b: str, c: str) -> str:
-    return "\x1f".join((kind, a, b, c) if kind == "h" else (kind, a))
-
-
 def sample_of(df: DataFrame, columns: list[str], rows: int = TRAIN) -> pd.DataFrame:
     """The rows lowest by hash: a bounded sample that doesn't depend on partitions."""
     keyed = df.select(*columns).withColumn("_k", F.xxhash64(*columns).cast("string"))
@@ -294,7 +339,13 @@ def break_features(left: str, right: str, mark: str, joined: int, compound: int,
 
 def broken_words(seen: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(a, b, c): left part, mark and right part of the line pairs that break a word by a mark that is no part of it."""
-    distinct = seen.filter("kind = 'h'").select(F.col("a").alias("left"), F.col("b").alias("mark"), F.col("c").alias("right")).distinct()
+    whole = sample_of(lexicon.filter("kind = 'w' and n >= 3 and length(a) >= 6 and not a rlike '[0-9]'"), ["a"])["a"].tolist()
+    cut = {(w[:k], "-", w[k:]) for w in whole if (k := 2 + zlib.crc32(w.encode()) % (len(w) - 3))}
+    apart = {(w.partition("-")[0], "-", w.partition("-")[2]) for w in sample_of(lexicon.filter("kind = 'h'"), ["a"])["a"]}
+    # the pairs that the classifier is trained on are counted in the same join as those of the pages
+    made = seen.sparkSession.createDataFrame([*cut, *apart] or [("", "", "")], "left string, mark string, right string")
+    pairs = seen.filter("kind = 'h'").select(F.col("a").alias("left"), F.col("b").alias("mark"), F.col("c").alias("right"), F.lit(True).alias("real"))
+    pairs = pairs.union(made.withColumn("real", F.lit(False))).groupBy("left", "mark", "right").agg(F.max("real").alias("real"))
     counts = lexicon.filter("kind in ('w', 'h')").select("kind", F.col("a").alias("k"), "n")
     asked = F.array(
         *[F.struct(F.lit(i).alias("i"), F.lit(kind).alias("kind"), F.lower(k).alias("k")) for i, (kind, k) in enumerate(
@@ -302,28 +353,20 @@ def broken_words(seen: DataFrame, lexicon: DataFrame) -> DataFrame:
         )]
     )
     of = lambda i: F.coalesce(F.max(F.when(F.col("i") == i, F.col("n"))), F.lit(0))
-    distinct = (
-        distinct.select("left", "mark", "right", F.inline(asked)).join(counts, ["kind", "k"], "left").groupBy("left", "mark", "right")
+    pairs = checkpointed(
+        pairs.select("left", "mark", "right", "real", F.inline(asked)).join(counts, ["kind", "k"], "left").groupBy("left", "mark", "right", "real")
         .agg(of(0).alias("joined"), of(1).alias("compound"), of(2).alias("l"), of(3).alias("r"))
     )
-    a = sample_of(lexicon.filter("kind = 'w' and n >= 3 and length(a) >= 6 and not a rlike '[0-9]'"), ["a", "n"])
-    b = sample_of(lexicon.filter("kind = 'h'"), ["a", "n"])
-    known = dict(zip(a["a"], a["n"]))
     rows, y = [], []
-    for i, (w, n) in enumerate(zip(a["a"], a["n"])):
-        cut = 2 + zlib.crc32(w.encode()) % (len(w) - 3)
-        n = 0 if i % 4 == 0 else n  # as for a word that is misread as well
-        rows.append(break_features(w[:cut], w[cut:], "-", n, 0, known.get(w[:cut], 0), known.get(w[cut:], 0)))
-        y.append(1.0)
-    for w, n in zip(b["a"], b["n"]):
-        left, _, right = w.partition("-")
-        for k in (n, 0):
-            rows.append(break_features(left, right, "-", 0, k, known.get(left, 5), known.get(right, 5)))
-            y.append(0.0)
-    # other marks than the hyphen stand at line ends only
-    for w, n in zip(a["a"], a["n"]):
-        rows.append(break_features(w[:3], w[3:], "¬", n, 0, 0, 0))
-        y.append(1.0)
+    for i, (left, mark, right, joined, compound, l, r) in enumerate(pairs.join(F.broadcast(made), ["left", "mark", "right"], "left_semi").drop("real").orderBy("left", "right").collect()):
+        if (left, mark, right) in cut:
+            # as for a word that is misread as well, and for other marks than the hyphen, which stand at line ends only
+            rows.append(break_features(left, right, mark if i % 4 else "¬", joined if i % 3 else 0, compound, l, r))
+            y.append(1.0)
+        if (left, mark, right) in apart:
+            for k in (compound, 0):
+                rows.append(break_features(left, right, mark, joined, k, l, r))
+                y.append(0.0)
     model = Boosted(np.array(rows, dtype=float).reshape(len(rows), 9), np.array(y))
 
     @F.pandas_udf("double")
@@ -332,7 +375,7 @@ def broken_words(seen: DataFrame, lexicon: DataFrame) -> DataFrame:
         return pd.Series(model.probability(np.array(x, dtype=float).reshape(len(x), 9)))
 
     p = likely("left", "right", "mark", "joined", "compound", "l", "r")
-    return distinct.filter(p > 0.5).select(F.col("left").alias("a"), F.col("mark").alias("b"), F.col("right").alias("c"))
+    return pairs.filter("real").filter(p > 0.5).select(F.col("left").alias("a"), F.col("mark").alias("b"), F.col("right").alias("c"))
 
 
 def corrupt(word: str) -> str | None:
