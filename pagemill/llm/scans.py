@@ -46,6 +46,7 @@ FREQUENT = 2000
 CONFUSIONS = [
     ("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("vv", "w"), ("w", "vv"), ("l", "1"), ("i", "1"), ("l", "i"), ("i", "l"), ("i", "j"), ("j", "i"),
     ("o", "0"), ("e", "c"), ("c", "e"), ("h", "b"), ("b", "h"), ("t", "f"), ("f", "t"), ("g", "9"), ("g", "q"), ("s", "5"), ("b", "6"), ("b", "8"), ("z", "2"),
+    ("in", "m"), ("m", "in"), ("ni", "m"), ("ri", "n"), ("u", "ii"), ("ii", "u"), ("h", "li"), ("k", "lc"), ("é", "6"), ("y", "v"), ("v", "y"),
     ("a", "o"), ("u", "v"), ("n", "u"), ("u", "n"), ("n", "ri"), ("r", "n"), ("li", "h"), ("t", "l"), ("l", "t"), ("ü", "u"), ("é", "e"),
     ("о", "0"), ("з", "3"), ("б", "6"), ("н", "и"), ("и", "н"), ("п", "л"), ("л", "п"), ("ш", "щ"), ("щ", "ш"), ("е", "с"), ("с", "е"), ("ц", "п"), ("т", "г"),
 ]
