@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import codecs
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,11 +26,19 @@ from pagemill.session import bounded_sample, spread, table
 
 #: Rows of each of chunks and page blocks, the lowest by hash, on which the classifier is trained.
 TRAIN_ROWS = 2500
+#: Longest text of the sample: longer ones are no sample, none is cut.
+LONGEST = 20_000
 BUCKETS = 1 << 16
 MIN_SCORE = 14.0
 FLOOR = 2e-6
 #: Weight of sound text in the odds, and the count below which a bigram says nothing.
 PRIOR, RARE = 30.0, 0.5
+#: Cost of a change of chains within a stretch, as a logarithm, and the odds from which a stretch is looked at for such.
+SWITCH, STRONG = 25.0, 60.0
+#: What sound text has in its favour there, as a logarithm, at each byte.
+LEAN = 0.3
+#: Of the ranked chains, those that are also tried with the edges of a stretch moved by up to two characters.
+EDGED = 12
 #: ASCII bytes that separate two stretches, which may come from different chains.
 GAP = 24
 
@@ -146,6 +155,27 @@ class Model:
         total = self.log_p[:, buckets(raw)].sum(1)
         return [self.chains[k] for k in np.argsort(-total)]
 
+    def segments(self, raw: bytes) -> list[tuple[int, int]]:
+        """Byte ranges between which the likeliest chain changes, those of sound text left out.
+
+        The likeliest sequence of chains and of sound text, where each change costs SWITCH.
+        """
+        at = buckets(raw)
+        p = np.vstack([self.log_p[:, at], self.log_q[None, at] + LEAN]).T.astype(np.float64)
+        best, back = p[0].copy(), np.zeros(p.shape, dtype=np.int16)
+        states = np.arange(p.shape[1])
+        for i in range(1, len(p)):
+            k = int(best.argmax())
+            stay = best >= best[k] - SWITCH
+            back[i] = np.where(stay, states, k)
+            best = np.where(stay, best, best[k] - SWITCH) + p[i]
+        path = np.empty(len(p), dtype=np.int64)
+        path[-1] = best.argmax()
+        for i in range(len(p) - 1, 0, -1):
+            path[i - 1] = back[i, path[i]]
+        edges = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(p)]
+        return [(a, b) for a, b in zip(edges, edges[1:]) if path[a] < len(self.chains)]
+
     def stretches(self, raw: bytes) -> list[tuple[int, int, float]]:
         """Byte ranges of the highest-scoring stretches, from left to right, cut where ASCII stands between."""
         s, out = self.scores(raw), []
@@ -172,6 +202,8 @@ class Model:
 
 #: How much likelier, in mean log probability, the restored text must be than what it was restored from.
 GAIN = 1.0
+#: The same for stretches with fewer than eight odd characters together.
+FEW = 2.5
 
 
 @lru_cache(None)
@@ -192,15 +224,15 @@ def undo(text: str, chain: tuple[str, ...]) -> str | None:
     return text
 
 
-def undo_groups(model: Model, text: str, a: int, b: int, chain: tuple[str, ...]) -> tuple[str, int, int, bool] | None:
+def undo_groups(model: Model, text: str, a: int, b: int, chain: tuple[str, ...], tight: bool = False) -> tuple[str, int, int, bool] | None:
     """Undo a chain that misreads UTF-8 byte by byte, run by run: it never touches ASCII, and sound runs stay.
 
     None unless most of the odd characters decode; the flag is false if some of them don't, as where some were dropped.
     """
     pattern = group(chain[1])
-    while a > 0 and text[a - 1] > "\x7f":
+    while not tight and a > 0 and text[a - 1] > "\x7f":
         a -= 1
-    while b < len(text) and text[b] > "\x7f":
+    while not tight and b < len(text) and text[b] > "\x7f":
         b += 1
     done = failed = 0
     old, new = [], []
@@ -238,26 +270,26 @@ def undo_all_but(text: str, chain: tuple[str, ...]) -> str | None:
     return text if text.count("\ufffd") * 5 <= len(text) else None
 
 
-def restore(model: Model, text: str, a: int, b: int) -> tuple[str, str, int, int, bool] | None:
+def restore(model: Model, text: str, a: int, b: int, tight: bool = False) -> tuple[str, str, int, int, bool] | None:
     """(restored, chain, start, end, whole) of a stretch, or None if no likely chain can be inverted.
 
     The whole stretch, give or take its edges, must decode and be likelier as sound text afterwards.
     """
     part = text[a:b]
     before = model.soundness(part)
-    odd, score = sum(c > "\x7f" for c in part), float(model.scores(part.encode("utf-8", "replace")).sum())
-    # the commonest misreadings are tried whatever sound text in the stretch does to the ranking
-    for chain in dict.fromkeys([*model.rank(part.encode("utf-8", "replace"))[:6], *LOSSLESS[:2]]):
+    odd, score = sum(c > "\x7f" and not c.isspace() for c in part), float(model.scores(part.encode("utf-8", "replace")).sum())
+    # all chains as the classifier ranks them; sound text in the stretch may spoil the ranking
+    for k, chain in enumerate(model.rank(part.encode("utf-8", "replace"))):
         if chain[1] == "utf-8":
             continue
         name = ">".join(chain)
         if chain[0] == "utf-8" and chain[1] not in MULTI:
-            if (g := undo_groups(model, text, a, b, chain)) is not None:
+            if (g := undo_groups(model, text, a, b, chain, tight)) is not None:
                 return g[0], name, *g[1:]
             continue
         if odd < 8 or not MULTI.isdisjoint(chain[:2]) and score < 3 * odd:
             continue  # what is short or hardly odd decodes by chance
-        edges = (0, 1, -1, 2, -2) if not MULTI.isdisjoint(chain[:2]) else (0,)
+        edges = (0, 1, -1, 2, -2) if k < EDGED and not MULTI.isdisjoint(chain[:2]) else (0,)
         for x in edges:
             for y in edges:
                 lo, hi = max(0, a + x), min(len(text), b + y)
@@ -292,40 +324,70 @@ def examine(model: Model, text: str | None) -> tuple[str | None, str, str] | Non
         return None
     if not spans and all(quoted(text, m.start(), m.end()) for m in re.finditer("�+", text)):
         return None
-    out, names, at, whole, lost = [], [], 0, "�" not in text, "�" in text
-    fixes, open_ = [], []
+    out, names, at, whole = [], [], 0, "�" not in text
+    fixes: list = []
+    open_: list = []
     for x, y in spans:
         if "�" in text[x:y]:
             names.append(">".join(model.rank(text[x:y].encode("utf-8", "replace"))[0]))
         elif (fixed := restore(model, text, x, y)) is not None:
             fixes.append(fixed)
         else:
-            open_.append((x, y))
+            parts = parted(model, text, x, y)
+            fixes += parts
+            if not parts:
+                open_.append((x, y))
     if open_ and not fixes:
         fixes = letters_exchanged(model, text, open_)
-    for new, name, lo, hi, all_of_it in fixes:
+    for new, name, lo, hi, all_of_it in sorted(fixes, key=lambda f: f[2:4]):
         if lo < at:
             continue
         whole &= all_of_it
         out += [text[at:lo], new]
         at = hi
         names.append(name)
-    if not names and not lost:
+    if not names:
         return None  # odd, but no chain explains it
     out.append(text[at:])
     return ("yes" if whole else "no"), ",".join(dict.fromkeys(names)), "".join(out)
 
 
+def parted(model: Model, text: str, a: int, b: int) -> list[tuple[str, str, int, int, bool]]:
+    """The fixes of a stretch in which one chain follows another, each found on its own; none if most of it has none."""
+    part = text[a:b]
+    raw = part.encode("utf-8", "replace")
+    if float(model.scores(raw).sum()) < STRONG:
+        return []
+    chars = np.cumsum((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)
+    fixes, odd, done, at = [], 0, 0, a
+    for x, y in model.segments(raw):
+        lo, hi = a + int(chars[x]) - 1, a + int(chars[min(y, len(raw) - 1)]) - 1 + (y >= len(raw))
+        lo = max(lo, at)
+        n = sum(c > "\x7f" for c in text[lo:hi])
+        odd += n
+        if lo < hi and (fixed := restore(model, text, lo, hi, True)) is not None and fixed[2] >= at:
+            fixes.append(fixed)
+            done += n
+            at = fixed[3]
+    return fixes if 2 * done >= odd else []
+
+
+def scripts(text: str) -> set[str]:
+    return {unicodedata.name(c, "?").split()[0] for c in set(text) if c.isalpha()}
+
+
 def letters_exchanged(model: Model, text: str, spans: list[tuple[int, int]]) -> list[tuple[str, str, int, int, bool]]:
     """The fixes of stretches too short on their own that one single-byte chain makes sound together."""
     joined = " ".join(text[x:y] for x, y in spans)
-    if sum(c > "\x7f" for c in joined) < 8:
+    odd = sum(c > "\x7f" and not c.isspace() for c in joined)
+    if odd < 3:
         return []
-    before = model.soundness(joined)
-    for chain in model.rank(joined.encode("utf-8", "replace"))[:6]:
+    before = model.soundness(joined) + (GAIN if odd >= 8 else FEW)
+    rest = "".join(text[x:y] for x, y in zip([0, *[b for _, b in spans]], [*[a for a, _ in spans], len(text)]))
+    for chain in model.rank(joined.encode("utf-8", "replace")):
         if MULTI.isdisjoint(chain[:2]):
             new = [undo(text[x:y], chain) for x, y in spans]
-            if None not in new and model.soundness(" ".join(new)) > before + GAIN:
+            if None not in new and model.soundness(" ".join(new)) > before and (odd >= 8 or scripts(" ".join(new)) <= scripts(rest)):
                 return [(n, ">".join(chain), x, y, True) for n, (x, y) in zip(new, spans)]
     return []
 
@@ -334,7 +396,7 @@ def sound_sample(df: DataFrame, text: str, rows: int = TRAIN_ROWS) -> list[str]:
     """The texts lowest by hash that hold other characters than ASCII, none lost or of private use."""
     x = F.col(text)
     sound = df.filter(x.rlike(r"[^\x00-\x7f]") & ~x.rlike("[\\x{80}-\\x{9f}\\x{fffd}\\x{e000}-\\x{f8ff}]"))
-    picked = bounded_sample(sound.select(F.substring(x, 1, 2000).alias("t")), "t", rows)
+    picked = bounded_sample(sound.filter(F.length(x) <= LONGEST).select(x.alias("t")), "t", rows)
     return [r["t"] for r in picked.collect()]
 
 

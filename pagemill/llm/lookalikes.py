@@ -1,9 +1,14 @@
 """p6: one consistent form for text that looks the same.
 
-Method: a trie of the vocabulary is traversed with a weighted edit automaton that gives look-alikes and ignorable
-characters zero cost; a token that reaches a word takes that canonical spelling, the rest is normalised by table.
+Method: tries of the vocabulary are traversed with a weighted edit automaton in which look-alikes of any script, case,
+compatibility forms and ignorable characters cost nothing and every other edit 1; a suspect token that reaches a word at
+no more than MAX_COST takes that canonical spelling, letter by letter in its own case. What no trie has is normalised by
+table. Words compete by the script of the text around the token first and by how often they occur second.
+
+The vocabulary is that of all texts of both tables. It is cut into shards by the first letters, look-alikes as one; each
+shard with suspect tokens gets a trie in a task of its own, so neither the driver nor any task holds the vocabulary. The
+distinct tokens with their new spellings are broadcast up to a measured size and joined with their rows beyond it.
 
-The vocabulary holds the plain spellings of frequent words, at most VOCABULARY of them, so its trie has a proven bound.
 Null and empty texts stay as they are. Full-width punctuation, typographic quotes and dashes, circled numbers,
 superscripts, formula letters, and joiners that an emoji or an Indic spelling needs are kept.
 """
@@ -12,7 +17,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,17 +27,20 @@ from pyspark.sql import functions as F
 
 from pagemill.llm import encoding
 from pagemill.llm.tables import code_points
-from pagemill.session import spread, table
+from pagemill.session import checkpointed, small_side, spread, table
 
-#: Most words in the broadcast trie, the most frequent of those seen at least MIN_COUNT times.
-VOCABULARY, MIN_COUNT = 100_000, 3
 #: Cost up to which a spelling counts as the same: look-alikes and ignorables only.
-MAX_COST = 0.0
+MAX_COST = 0
+#: First letters, look-alikes as one, by which vocabulary and tokens are cut into shards.
+SHARD_LETTERS = 2
+#: Bytes up to which the spellings of tokens are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 # Letters of Cyrillic and Greek that look like Latin ones.
-LATIN_OF = dict(zip("АВЕЅІЈКМНОРСТХҮаеѕіјорсухһԁԛԝӏ", "ABESIJKMHOPCTXYaesijopcyxhdqwl")) | dict(
-    zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοινρυκαχγ", "ABEZHIKMNOPTYXoivpukaxy")
-)
+CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТХҮаеѕіјорсухһԁԛԝӏ", "ABESIJKMHOPCTXYaesijopcyxhdqwl"))
+GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοινρυκαχγ", "ABEZHIKMNOPTYXoivpukaxy"))
+LATIN_OF = CYRILLIC | GREEK
+CYRILLIC_OF = {b: a for a, b in CYRILLIC.items() if a not in "Үһԁԛԝӏ"}
 #: Invisible characters that no spelling needs, and the joiners that some do.
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‎‏‪-‮⁠-⁤⁦-⁯﻿ㅤﾠ"
 JOINERS = "‌‍"
@@ -54,52 +62,86 @@ _JOINER = re.compile(f"[{JOINERS}]")
 _SPACE = re.compile(f"[{SPACES}]")
 _CODE = re.compile(f"(?<![^\\W_])([A-ZＡ-Ｚ]{{1,5}})[{HYPHENS}](?=[0-9０-９]{{2,}})")
 _MARKED = regex.compile(r"[^\W\d_]\p{M}+|[\u1100-\u11ff]{2,}")
-_WORD = regex.compile(rf"[\p{{L}}\p{{M}}{INVISIBLE}{JOINERS}]+")
+#: Runs of letters of the scripts that share shapes, with what may be hidden in them.
+_TOKEN = regex.compile(rf"[\p{{Latin}}\p{{Cyrillic}}\p{{Greek}}\p{{M}}{INVISIBLE}{JOINERS}]+")
+_GREEK, _CYRILLIC, _LATIN = (regex.compile(rf"\p{{{x}}}") for x in ("Greek", "Cyrillic", "Latin"))
 _FOREIGN = regex.compile(r"[\p{Greek}\p{Cyrillic}]")
-_LATIN = regex.compile(r"[\p{Latin}]")
+_PLAIN = regex.compile(r"\p{Latin}+|\p{Cyrillic}+|\p{Greek}+")
 _EMOJI = regex.compile(r"\p{Extended_Pictographic}|[\U0001f3fb-\U0001f3ff\ufe0f]")
 
 
-def same_letter(a: str) -> str:
-    """The letter that `a` stands for in the automaton: look-alikes and compatibility forms are the same letter."""
-    return LATIN_OF.get(a) or unicodedata.normalize("NFKC", a)
+def options(c: str) -> set[str]:
+    """The lower-case letters that a character of a token may stand for at no cost."""
+    out = {c, LATIN_OF.get(c, c)} | {k for k, v in LATIN_OF.items() if v in (c, LATIN_OF.get(c))}
+    return {x.lower() for x in out if len(x.lower()) == 1}
+
+
+def prototypes() -> tuple[str, str]:
+    """(letters, one letter for each): lower-case look-alikes, however they are linked, have the same."""
+    root: dict[str, str] = {}
+
+    def find(c: str) -> str:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    for a, b in LATIN_OF.items():
+        x, y = find(a.lower()), find(b.lower())
+        root[max(x, y)] = root.setdefault(min(x, y), min(x, y))
+    letters = sorted(root)
+    return "".join(letters), "".join(find(c) for c in letters)
+
+
+_LETTERS, _PROTOTYPE = prototypes()
+_FOLD = str.maketrans(_LETTERS, _PROTOTYPE)
+
+
+def bare(token: str) -> str:
+    """The token in compatibility form without ignorable characters."""
+    return unicodedata.normalize("NFKC", _JOINER.sub("", _INVISIBLE.sub("", token)))
+
+
+def shard_of(token: str) -> str:
+    return bare(token).lower()[:SHARD_LETTERS].translate(_FOLD)
 
 
 class Trie:
-    """Words as nested dictionaries; the empty key ends a word."""
+    """Words with their counts as nested dictionaries; the empty key ends a word."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[tuple[str, int]]):
         self.root: dict = {}
-        for w in words:
+        for w, n in words:
             node = self.root
             for c in w:
                 node = node.setdefault(c, {})
-            node[""] = w
-
-    def find(self, token: str) -> str | None:
-        """The word that the token spells at no more than MAX_COST, or None.
-
-        Weights: 0 for the same letter, a look-alike or an ignorable character of the token; 1 for any other edit. At a
-        limit of 0 the frontier of the automaton holds one cost, so states are sets of trie nodes.
-        """
-        nodes = [self.root]
-        for c in unicodedata.normalize("NFC", token):
-            if _INVISIBLE.match(c) or _JOINER.match(c):
-                continue
-            step = []
-            for node in nodes:
-                for letters in {c, same_letter(c)}:
-                    at = node
-                    for x in letters:
-                        at = at.get(x)
-                        if at is None:
-                            break
-                    if at is not None and at not in step:
-                        step.append(at)
-            if not step:
-                return None
-            nodes = step
-        return next((n[""] for n in nodes if "" in n), None)
+            node[""] = (w, n)
+
+    def find(self, token: str, limit: int = MAX_COST) -> list[tuple[int, str, int]]:
+        """(cost, word, count) of the words that the token spells at no more than the limit."""
+        states: dict[int, tuple[dict, int]] = {id(self.root): (self.root, 0)}
+
+        def put(new: dict, node: dict, cost: int) -> None:
+            if cost <= limit and new.get(id(node), (None, limit + 1))[1] > cost:
+                new[id(node)] = (node, cost)
+                for c, child in node.items():  # a letter that the token lacks
+                    if c:
+                        put(new, child, cost + 1)
+
+        if limit:
+            start: dict = {}
+            put(start, self.root, 0)
+            states = start
+        for c in bare(token):
+            free, new = options(c), {}
+            for node, cost in states.values():
+                for x, child in node.items() if limit else ((x, node[x]) for x in free if x in node):
+                    if x:
+                        put(new, child, cost + (x not in free))
+                put(new, node, cost + 1)  # a letter too many
+            states = new
+            if not states:
+                return []
+        return sorted((cost, *node[""]) for node, cost in states.values() if "" in node)
 
 
 def suspect(text: str) -> bool:
@@ -125,8 +167,52 @@ def joiner_needed(text: str, i: int) -> bool:
     return text[i] == "‌" and "؀" <= before <= "ۿ" and "؀" <= after <= "ۿ"
 
 
-def canonical(text: str | None, trie: Trie) -> tuple[str, int] | None:
-    """(text in one form, how many places were changed); None where nothing is to be changed."""
+def script(text: str) -> str:
+    """L, C or G: the script with most letters, of the three that share shapes; '' for none."""
+    n = {k: len(p.findall(text)) for k, p in (("L", _LATIN), ("C", _CYRILLIC), ("G", _GREEK))}
+    best = max(n, key=n.get)
+    return best if n[best] else ""
+
+
+def suspect_tokens(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, token, script of its line) of the tokens that mix scripts, hide characters or are all look-alikes."""
+    at = 0
+    for line in text.split("\n"):
+        if not line.isascii() and suspect(line):
+            for m in _TOKEN.finditer(line):
+                t = m[0]
+                if t.isascii() or len(t) < 2:
+                    continue
+                foreign = _FOREIGN.search(t)
+                hidden = not _PLAIN.fullmatch(t) or _TABLE.search(t)
+                if hidden or foreign and all(c in LATIN_OF for c in t):
+                    yield at + m.start(), at + m.end(), t, script(line[: m.start()] + line[m.end() :])
+        at += len(line) + 1
+
+
+def in_case(word: str, token: str) -> str:
+    """The word with the case of the token's letters; they are as many."""
+    return "".join(w.upper() if c.isupper() and len(w.upper()) == 1 else w for w, c in zip(word, bare(token)))
+
+
+def by_table(token: str) -> str:
+    """A token of several scripts in one, if all letters of the other have look-alikes in it."""
+    latin, other = _LATIN.search(token), _FOREIGN.search(token)
+    if not latin or not other or len(token) < 2:
+        return token
+    letters = [c for c in token if c.isalpha()]
+    if all(c in LATIN_OF for c in letters if _FOREIGN.match(c)) and not (_GREEK.search(token) and len(letters) < 4):
+        return "".join(LATIN_OF.get(c, c) for c in token)
+    if _CYRILLIC.search(token) and not _GREEK.search(token) and all(c in CYRILLIC_OF for c in letters if _LATIN.match(c)):
+        return "".join(CYRILLIC_OF.get(c, c) for c in token)
+    return token
+
+
+def canonical(text: str | None, spelled: Callable[[str, str], str | None]) -> tuple[str, int] | None:
+    """(text in one form, how many places were changed); None where nothing is to be changed.
+
+    spelled: the canonical spelling of a suspect token in a line of a script, or None.
+    """
     if not text or not suspect(text):
         return None
     n = 0
@@ -138,7 +224,7 @@ def canonical(text: str | None, trie: Trie) -> tuple[str, int] | None:
             return new
         return f
 
-    def by_table(m) -> str:
+    def compatible(m) -> str:
         nonlocal n
         new = unicodedata.normalize("NFKC", m[0])
         n += new != m[0]
@@ -159,75 +245,127 @@ def canonical(text: str | None, trie: Trie) -> tuple[str, int] | None:
         n += 1
         return new
 
-    def word(m) -> str:
-        nonlocal n
-        w = m[0]
-        foreign = _FOREIGN.search(w)
-        if not foreign:
-            return w
-        latin = _LATIN.search(w)
-        lookalikes = sum(c in LATIN_OF for c in w)
-        if latin and len(w) > 1:
-            known = trie.find(w) or trie.find(w.lower())
-            new = "".join(LATIN_OF.get(c, c) for c in w)
-            if known or (lookalikes and not _FOREIGN.search(new)):
-                n += new != w
-                return new
-            return w
-        # wholly in another script's letters: only if it spells a known word of this one and isn't a word itself
-        if lookalikes == len(w) and len(w) > 1 and trie.find(w) not in (None, w):
+    out, at = [], 0
+    for a, b, token, around in suspect_tokens(text):
+        new = spelled(token, around) or by_table(token)
+        if new != token:
             n += 1
-            return "".join(LATIN_OF.get(c, c) for c in w)
-        return w
-
-    text = _TABLE.sub(by_table, text)
+            out += [text[at:a], new]
+            at = b
+    text = "".join([*out, text[at:]])
+    text = _TABLE.sub(compatible, text)
     text = _INVISIBLE.sub(put(""), text)
     text = _JOINER.sub(joiner, text)
     text = _SPACE.sub(put(" "), text)
     text = _CODE.sub(lambda m: put(m[1] + "-")(m), text)
     text = _MARKED.sub(marked, text)
-    text = _WORD.sub(word, text)
     return (text, n) if n else None
 
 
-def vocabulary(texts: DataFrame, text: str) -> list[str]:
-    """Frequent words in one script without marks or invisible characters, most frequent first.
+def tokens_of(texts: DataFrame) -> DataFrame:
+    """(token, around, shard): the distinct suspect tokens of `text`."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = {(t, around) for x in b["text"] if suspect(x) for _, _, t, around in suspect_tokens(x)}
+            yield pd.DataFrame([(*f, shard_of(f[0])) for f in found], columns=["token", "around", "shard"])
+
+    return texts.mapInPandas(scan, "token string, around string, shard string").distinct()
+
+
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """(word, n, shard): the words of `text` in one script, in lower case, and how often they occur."""
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{M}]{2,})"), F.lit(1))).alias("word"))
+    plain = F.col("word").rlike(r"^(\p{IsLatin}+|\p{IsCyrillic}+|\p{IsGreek}+)$") & ~F.col("word").rlike(f"[{WIDE}{LIGATURES}]")
+    first = F.translate(F.substring("word", 1, SHARD_LETTERS), _LETTERS, _PROTOTYPE)
+    return words.filter(plain).groupBy("word").agg(F.count("*").alias("n")).withColumn("shard", first)
 
-    Words of one script are counted with map-side aggregation; only the bounded top of the counts reaches the driver.
-    """
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}{2,30})"), F.lit(1))).alias("w"))
-    plain = F.col("w").rlike(r"^(\p{IsLatin}+|\p{IsCyrillic}+|\p{IsGreek}+)$") & ~F.col("w").rlike(f"[{WIDE}{LIGATURES}]")
-    top = words.filter(plain).groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_COUNT)
-    return [r["w"] for r in top.orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()]
 
+def choose(found: list[tuple[int, str, int]], around: str) -> str | None:
+    """The word to write: in the script of the line if there is one, then the least cost, then the most frequent."""
+    if not found:
+        return None
+    return min(found, key=lambda f: (script(f[1]) != around, f[0], -f[2], f[1]))[1]
+
+
+def spellings(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """(token, around, spelling) of the tokens that a word of their shard's trie spells; one trie a shard, in one task."""
+    asked = small_side(tokens.select("shard").distinct())
+    own = words.join(asked, "shard", "left_semi").select("shard", F.col("word").alias("w"), "n", F.lit("").alias("around"))
+    both = own.union(tokens.select("shard", F.col("token").alias("w"), F.lit(0).cast("bigint").alias("n"), "around"))
 
-def unified(df: DataFrame, keys: list[str], text: str, trie: Trie, model: encoding.Model | None = None) -> DataFrame:
+    def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, trie = None, [], None
+        for b in batches:
+            rows = []
+            for shard, w, n, around in b.itertuples(index=False, name=None):
+                if shard != now:
+                    now, held, trie = shard, [], None
+                if n:
+                    held.append((w, n))
+                    continue
+                if trie is None:
+                    trie = Trie(held)
+                word = choose(trie.find(w), around)
+                new = None if word is None or len(word) != len(bare(w)) else in_case(word, w)
+                if new is not None and new != w:
+                    rows.append((w, around, new))
+            yield pd.DataFrame(rows, columns=["token", "around", "spelling"])
+
+    sharded = both.repartition("shard").sortWithinPartitions("shard", F.col("n").desc())
+    return sharded.mapInPandas(traverse, "token string, around string, spelling string")
+
+
+def unified(df: DataFrame, keys: list[str], text: str, known: DataFrame, model: encoding.Model | None = None) -> DataFrame:
     """(keys, n_changes, canonical) of the rows whose text changes. ASCII rows stay in the JVM.
 
-    With a model of wrong encodings, garbled rows are left out: they are to be restored, not unified.
+    known: (token, around, spelling). With a model of wrong encodings, garbled rows are left out: they are to be restored.
     """
-    shared = df.sparkSession.sparkContext.broadcast((trie, model))
+    rows = spread(df.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(*keys, text))
+    size = known.agg(F.sum(F.octet_length("token") + F.octet_length("spelling") + 64)).first()[0] or 0
+    table_of = None
+    if size <= BROADCAST_BYTES:
+        table_of = {(r["token"], r["around"]): r["spelling"] for r in known.collect()}
+        rows = rows.withColumn("fixes", F.lit(None).cast("map<string,string>"))
+    else:
+        rows = with_spellings(rows, keys, text, known)
+    shared = df.sparkSession.sparkContext.broadcast((table_of, model))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t, m = shared.value
         for b in batches:
-            rows = [
-                (*k, r[1], r[0])
-                for *k, x in b.itertuples(index=False, name=None)
-                if (r := canonical(x, t)) is not None and (m is None or encoding.examine(m, x) is None)
-            ]
-            yield pd.DataFrame(rows, columns=[*keys, "n_changes", "canonical"])
+            out = []
+            for *k, x, fixes in b.itertuples(index=False, name=None):
+                own = dict(fixes) if fixes is not None else {}
+                r = canonical(x, (lambda token, around: t.get((token, around))) if t is not None else lambda token, around, own=own: own.get(f"{around}{token}"))
+                if r is not None and (m is None or encoding.examine(m, x) is None):
+                    out.append((*k, r[1], r[0]))
+            yield pd.DataFrame(out, columns=[*keys, "n_changes", "canonical"])
 
-    rows = spread(df.filter(F.col(text).rlike(r"[^\x00-\x7f]")).select(*keys, text))
     return rows.mapInPandas(scan, ", ".join(f"{k} string" for k in keys) + ", n_changes int, canonical string")
 
 
+def with_spellings(rows: DataFrame, keys: list[str], text: str, known: DataFrame) -> DataFrame:
+    """The rows with `fixes`, the spellings of their own tokens by script and token: a join for what is too large to send."""
+
+    @F.pandas_udf("array<struct<token:string,around:string>>")
+    def own(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: [{"token": k, "around": s} for k, s in {(k, s) for _, _, k, s in suspect_tokens(x)}])
+
+    each = rows.select(*keys, F.inline(own(text))).join(known, ["token", "around"]).groupBy(*keys)
+    fixes = each.agg(F.map_from_entries(F.collect_set(F.struct(F.concat("around", "token"), "spelling"))).alias("fixes"))
+    return rows.join(fixes, keys, "left")
+
+
 def p6_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every chunk and text block whose text changes, with its canonical form; garbled chunks are p4's."""
     blocks = table(spark, sf_dir, "page_blocks").filter("type = 'text'")
-    trie = Trie(vocabulary(blocks, "content_text"))
-    a = unified(table(spark, sf_dir, "chunks"), ["source", "chunk_id"], "content", trie, encoding.trained(spark, sf_dir))
-    b = unified(blocks, ["source", "block_id"], "content_text", trie)
+    chunks = table(spark, sf_dir, "chunks")
+    texts = blocks.select(F.col("content_text").alias("text")).union(chunks.select("content")).filter("text is not null")
+    tokens = checkpointed(tokens_of(texts.filter(F.col("text").rlike(r"[^\x00-\x7f]"))))
+    known = checkpointed(spellings(tokens, vocabulary(texts)))
+    a = unified(chunks, ["source", "chunk_id"], "content", known, encoding.trained(spark, sf_dir))
+    b = unified(blocks, ["source", "block_id"], "content_text", known)
     return (
         a.withColumnRenamed("chunk_id", "record_id")
         .withColumn("table_name", F.lit("chunks"))
