@@ -1,10 +1,11 @@
 """p3: text statistics of every document, and what is a list, a table or junk rather than prose.
 
-Method: tables and lists show in how delimiters line up from line to line, in how markers and indentation recur, and in
-the autocorrelation of line lengths; junk shows in word, symbol and punctuation ratios. Lines are judged one by one in
-the light of their neighbours; lines without a marker or delimiter are judged in runs, by punctuation, symbols and function
-words whether they are prose, and by the recurrence of digits, indentation and lengths whether they are a list or a table.
-A text is of a kind if more than half of it, by characters, is no prose.
+Method: tables and lists show in how delimiters line up vertically, in the periodicity of indentation and markers, and in
+the autocorrelation of line lengths, combined with word, symbol and punctuation ratios. Lines with a marker or delimiter
+are candidates; each run of candidates is decided as a whole by its evidence, the sum of alignment or periodicity and
+autocorrelation less what speaks for prose, sentence ends and function words. Runs without either are judged by the same
+ratios whether they are prose, and by the recurrence of digits, indentation and lengths whether they are a list or a
+table. Junk shows in symbol and letter ratios. A text is of a kind if more than half of it, by characters, is no prose.
 
 Null and empty texts have zero statistics and no kind. A text of one line can be junk or a list, but needs MIN_RUN lines
 that line up to be a table. Texts of any length are read whole. Repeated rows of a key count once.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,12 +29,13 @@ from pagemill.session import spread, table
 
 #: Neighbouring lines that must agree for a table; for a list one less.
 MIN_RUN = 3
+#: Least evidence of a run of lines with markers or delimiters.
+EVIDENCE = 0.1
 #: A run without markers and delimiters: fewest lines, longest line, most columns of a table with a cell per line.
 MIN_PLAIN, MAX_PLAIN, MAX_COLUMNS = 4, 60, 8
 #: Most function words, which are broadcast; more are refused.
 MAX_COMMON = 1_000_000
 
-_WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}]+(?:['’][\p{L}\p{M}]+)*")
 _SYMBOL = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()。，、；：！？…“”‘’「」（）\-]")
 _END = re.compile("[.!?…。！？．؟।:：;；][\"'”’»」』）)\\]]*$")
 _STOP = re.compile("[.!?,;:](?:[\"'”’»)]*$| )|[…。！？．؟।，、；：،؛]")
@@ -44,6 +47,7 @@ _CONTENTS = re.compile("(?:\\.[ .]{2,}|…{2,}|·{3,}|_{3,}|\t)\\s*(?:\\d{1,4}|[
 _INDEX = re.compile("^[^,;.]{1,80}(?:[,;] ?\\d{1,4}(?:[-–]\\d{1,4})?){2,}\\s*$")
 _KEY_VALUE = re.compile("^[^:：.!?。！？]{1,50}[:：][ \t　]*\\S.{0,80}$")
 _GAP = re.compile("(?<=\\S)(?: {2,}|　{2,})(?=\\S)")
+_CELL = re.compile("\\s*[\\t|;:：,]\\s*|(?<=\\S)(?: {2,}|　{2,})|[.…·_]{3,}\\s*|^[ \\t]*\\S{1,4}[ \\t]")
 _BOX = re.compile("[─-▟]")
 _PDF = re.compile("(?:endobj|endstream|stream|xref|obj|/Length|/Font|/Type|/Page|\\[IMAGE|<<|>>|0 R)\\d*")
 _BLOB = re.compile("[A-Za-z0-9+/=_-]{25,}")
@@ -76,6 +80,50 @@ def flag_table() -> np.ndarray:
     return _FLAG
 
 
+_LETTERS = regex.compile(r"[\p{L}\p{M}]")
+_RUN = regex.compile(r"[\p{L}\p{M}\p{N}]")
+_SINGLE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
+
+
+@lru_cache(1)
+def word_table() -> np.ndarray:
+    """By code point: 1 a word by itself, 2 a number, 3 a letter or mark, 4 an apostrophe, 0 all else."""
+    t = code_points(lambda c: 1 if _SINGLE.match(c) else 3 if _LETTERS.match(c) else 2 if _RUN.match(c) else 0, np.uint8)
+    t[[ord("'"), ord("’")]] = 4
+    return t
+
+
+def words_of(text: str) -> tuple[str, list[str]]:
+    """(ideographs and kana, each a word, runs of letters, marks and digits with apostrophes within)."""
+    kind = word_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+    run = np.zeros(len(kind) + 2, dtype=bool)
+    run[1:-1] = (kind == 2) | (kind == 3)
+    inside = np.flatnonzero(kind == 4)
+    if len(inside):
+        inside = inside[(inside > 0) & (inside < len(kind) - 1)]
+        run[inside[run[inside] & (kind[np.minimum(inside + 1, len(kind) - 1)] == 3)] + 1] = True
+    edges = np.flatnonzero(run[1:] != run[:-1]).tolist()
+    alone = np.flatnonzero(kind == 1)
+    singles = "".join(map(text.__getitem__, alone.tolist())) if len(alone) else ""
+    return singles, [text[i:j] for i, j in zip(edges[::2], edges[1::2])]
+
+
+def usual(text: str, common: set[str]) -> tuple[int, int, int]:
+    """(words, their characters, how many are common words)."""
+    singles, runs = words_of(text.lower())
+    known = sum(map(common.__contains__, singles)) + sum(map(common.__contains__, runs))
+    return len(singles) + len(runs), len(singles) + sum(map(len, runs)), known
+
+
+def ends_in_number(text: str) -> bool:
+    c = text.rstrip()[-1:]
+    return c.isdigit() or c in "ivxlIVXL"
+
+
+def is_contents(text: str) -> bool:
+    return ends_in_number(text) and bool(_CONTENTS.search(text))
+
+
 def counted(lines: list[str]) -> list[dict[str, int]]:
     """How many characters of each line have each flag."""
     points = np.frombuffer("\n".join([*lines, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -96,7 +144,7 @@ def is_junk(text: str, k: dict[str, int]) -> bool:
         found = [sum(len(m) for m in p.findall(text)) for p in (_PDF, _HEX, _BLOB)]
         if found[0] > 0.25 * n or found[1] > 0.6 * n or found[2] > 0.5 * n:
             return True
-    if k["mark"] > 0.35 * n and k["letter"] < 0.55 * n and "\t" not in text and not _CONTENTS.search(text):
+    if k["mark"] > 0.35 * n and k["letter"] < 0.55 * n and "\t" not in text and not is_contents(text):
         if k["odd"] > 0.18 * n or k["letter"] < 0.15 * n and k["mark"] > 0.6 * n and k["odd"] > 0.05 * n:
             return True
     if k["latin"] > 0.5 * n and k["vowel"] < 0.2 * k["latin"]:
@@ -104,19 +152,19 @@ def is_junk(text: str, k: dict[str, int]) -> bool:
         dumb = sum(len(w) for w in words if len(w) >= 3 and not w.isupper() and len(_VOWEL.findall(w)) < 0.15 * len(w))
         if len(words) >= 3 and dumb > 0.5 * sum(map(len, words)):
             return True
-    return n >= 12 and len(set(text)) <= 5 and not _CONTENTS.search(text)
+    return n >= 12 and len(set(text)) <= 5 and not is_contents(text)
 
 
 def alignment(lines: list[str]) -> list[str]:
     """The delimiter that lines up through each line and its neighbours, or ''."""
     counts = {d: [x.count(d) for x in lines] for d in ("\t", "|", ";")}
-    gaps = [len(_GAP.findall(x)) for x in lines]
+    gaps = [len(_GAP.findall(x)) if "  " in x or "　" in x else 0 for x in lines]
     # a full cell leaves no gap: such a line counts with its neighbours
     for i, x in enumerate(lines[1:-1], 1):
         if not gaps[i] and gaps[i - 1] and gaps[i + 1] and not _END.search(x) and 0.5 < len(x) / len(lines[i - 1]) < 2:
             gaps[i] = 1
     counts["  "] = gaps
-    counts[":"] = [int(bool(_KEY_VALUE.match(x)) and not _END.search(x) and len(x) < 110) for x in lines]
+    counts[":"] = [int((":" in x or "：" in x) and len(x) < 110 and bool(_KEY_VALUE.match(x)) and not _END.search(x)) for x in lines]
     out = [""] * len(lines)
     for d, c in counts.items():
         a = 0
@@ -166,9 +214,8 @@ def plain_kind(lines: list[str], counts: list[dict[str, int]], common: set[str])
     solid = sum(k["solid"] for k in counts)
     if sum(k["symbol"] for k in counts) > 0.08 * solid or 4 * sum(bool(_STOP.search(x)) for x in lines) > n:
         return "prose"
-    words = [_WORD.findall(x) for x in lines]
-    every = [w for x in words for w in x]
-    if not every or sum(w.lower() in common for w in every) > 0.2 * len(every):
+    words, _, known = usual("\n".join(lines), common)
+    if not words or known > 0.2 * words:
         return "prose"
     # wrapped text fills all its lines but the last; items are short or differ in length
     full = 20 if sum(k["latin"] for k in counts) > 0.5 * solid else 12
@@ -184,13 +231,36 @@ def plain_kind(lines: list[str], counts: list[dict[str, int]], common: set[str])
     return "table" if all(digits) else "list"
 
 
+def columns(line: str) -> list[int]:
+    """Where the cells of a line begin: behind its delimiters, leaders and gaps, and behind its marker."""
+    return [m.end() for m in _CELL.finditer(line)]
+
+
+def aligned_share(lines: list[str]) -> float:
+    """Share of neighbouring lines whose delimiters line up: as many of them, or most of them at the same places."""
+    where = [columns(x) for x in lines]
+    same = 0
+    for a, b in zip(where, where[1:]):
+        near = sum(any(abs(x - y) <= 2 for y in b) for x in a)
+        same += bool(a) and (len(a) == len(b) or 2 * near > max(len(a), len(b)))
+    return same / (len(lines) - 1)
+
+
+def evidence(lines: list[str], kind: str, common: set[str]) -> float:
+    """What speaks for a list or table in a run of candidate lines, less what speaks for prose."""
+    n, _, known = usual("\n".join(lines), common)
+    ends = sum(bool(_END.search(x.rstrip())) for x in lines) / len(lines)
+    shape = max(aligned_share(lines), periodicity(lines) if kind == "list" else 0.0)
+    return shape + 0.3 * max(autocorrelation([len(x) for x in lines]), 0.0) - ends - 0.5 * max(known / max(n, 1) - 0.2, 0.0)
+
+
 def line_kinds(lines: list[str], counts: list[dict[str, int]], common: set[str] = frozenset()) -> list[str]:
     """'list', 'table', 'junk' or 'prose' for each line."""
     if len(lines) > 1 and is_junk("\n".join(lines), {f: sum(k[f] for k in counts) for f in FLAGS}):
         return ["junk"] * len(lines)
     aligned = alignment(lines)
     marked = [bool(_MARKER.match(x)) and len(x) < 160 for x in lines]
-    listed = [bool(_CONTENTS.search(x) and "\t" not in x or _INDEX.match(x)) for x in lines]
+    listed = [ends_in_number(x) and bool(_CONTENTS.search(x) and "\t" not in x or _INDEX.match(x)) for x in lines]
     out = []
     for i, x in enumerate(lines):
         near = marked[max(0, i - 1) : i] + marked[i + 1 : i + 2]
@@ -205,6 +275,14 @@ def line_kinds(lines: list[str], counts: list[dict[str, int]], common: set[str]
         else:
             out.append("prose")
     a = 0
+    while a < len(out):
+        b = a
+        while b < len(out) and out[b] == out[a]:
+            b += 1
+        if b - a > 1 and out[a] in ("list", "table") and evidence(lines[a:b], out[a], common) < EVIDENCE:
+            out[a:b] = ["prose"] * (b - a)
+        a = b
+    a = 0
     while a < len(out):
         b = a
         while b < len(out) and out[b] == "prose" and len(lines[b]) <= 2 * MAX_PLAIN:
@@ -219,7 +297,7 @@ def statistics(text: str | None, common: set[str]) -> dict:
     """All statistics of one text; `kind` is empty for prose."""
     text = text or ""
     lines = [x for x in text.split("\n") if x.strip()]
-    words = _WORD.findall(text)
+    words, chars, known = usual(text, common)
     n = len(text)
     counts = counted(lines) if lines else []
     kinds = line_kinds(lines, counts, common)
@@ -231,11 +309,11 @@ def statistics(text: str | None, common: set[str]) -> dict:
     other = {k: share[k] / total for k in ("list", "table", "junk") if total and share[k]}
     kind = max(other, key=other.get) if sum(other.values()) > 0.5 else ""
     return {
-        "word_count": len(words),
-        "mean_word_length": round(sum(map(len, words)) / len(words), 4) if words else 0.0,
+        "word_count": words,
+        "mean_word_length": round(chars / words, 4) if words else 0.0,
         "symbol_ratio": round(sum(k["symbol"] for k in counts) / n, 4) if n else 0.0,
         "line_end_punctuation": round(sum(bool(_END.search(x.rstrip())) for x in lines) / len(lines), 4) if lines else 0.0,
-        "common_word_share": round(sum(w.lower() in common for w in words) / len(words), 4) if words else 0.0,
+        "common_word_share": round(known / words, 4) if words else 0.0,
         "length_autocorrelation": round(autocorrelation([len(x) for x in lines]), 4),
         "marker_periodicity": round(periodicity(lines), 4),
         "no_prose_share": round(sum(other.values()), 4),

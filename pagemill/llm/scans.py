@@ -74,7 +74,8 @@ _PAGE = re.compile(
 _SPLIT = re.compile("\\s*[·|]\\s*|\\s{2,}|\t")
 _SECTION = re.compile("^[\\dlI]+(?:\\.[\\dlI]+)*\\s+")
 _FOLD = str.maketrans("01ij|!e6hf7589", "ollll" + "lcbbttsbg")
-_LINE_END = re.compile("[.!?…。！？।؟：:;；,，、]\\W*$")
+_HEAD_NUM, _TAIL_NUM = re.compile(r"\W*[\dlIO]{1,4}\b"), re.compile(r"\b[\dlIO]{1,4}$")
+_ENDS = ".!?…。！？।؟：:;；,，、"
 
 
 def skeleton(part: str) -> str:
@@ -93,11 +94,14 @@ def part_key(part: str) -> int:
 
 def line_features(line: str, beside: str, parts: int) -> list[float]:
     """What tells furniture by itself and against the line beside it."""
+    end = len(line)
+    while end and not (line[end - 1].isalnum() or line[end - 1] == "_"):
+        end -= 1
     return [
-        float(bool(_PAGE.match(line))), float(bool(re.match(r"\W*[\dlIO]{1,4}\b", line)) or bool(re.search(r"\b[\dlIO]{1,4}\W*$", line))),
-        parts, len(line), sum(c.isupper() for c in line) / max(sum(c.isalpha() for c in line), 1), float(bool(_LINE_END.search(line))),
+        float(bool(_PAGE.match(line))), float(bool(_HEAD_NUM.match(line)) or bool(_TAIL_NUM.search(line[max(end - 6, 0) : end]))),
+        parts, len(line), sum(map(str.isupper, line)) / max(sum(map(str.isalpha, line)), 1), float(line[end : end + 1] in _ENDS and end < len(line)),
         float("·" in line or "|" in line), len(beside) / (len(line) + len(beside)), float(beside[:1].islower()), float(line[:1].islower()),
-        float(bool(_BREAK.search(line))),
+        float(line[-1:] in _BREAKS),
     ]
 
 
@@ -159,8 +163,8 @@ def broken_lines(lines: list[str]) -> Iterator[tuple[int, tuple[re.Match, re.Mat
             yield i, (broken, start)
 
 
-def looked_at(lines: list[str], let: Callable[[str, str], bool]) -> Iterator[tuple[str, int, int, str, str, str]]:
-    """(kind, line, start, key, as written, other) of what `let` lets through by kind and key.
+def looked_at(lines: list[str], let: Callable[[str, str], bool], wanted: Callable[[str], bool]) -> Iterator[tuple[str, int, int, str, str, str]]:
+    """(kind, line, start, key, as written, other) of what `let` lets through by kind and key; `wanted` does so for a word.
 
     Kinds are h line pairs, w words, n numbers, t trigrams. Of h, the key is the left part, the mark is `as written` and the
     right part is `other`; a word that a mark breaks is looked at joined, under its first line and with a start of -1.
@@ -173,7 +177,7 @@ def looked_at(lines: list[str], let: Callable[[str, str], bool]) -> Iterator[tup
         if is_word(joined) and let("w", joined.lower()):
             yield "w", i, -1, joined.lower(), joined, ""
     for i, line in enumerate(lines):
-        some = {w for w in _WORD.findall(line) if (let("n", w) if _NUMBER.match(w) else len(w) > 1 and is_word(w) and let("w", w.lower()))}
+        some = set(filter(wanted, _WORD.findall(line)))
         if not some:
             continue
         end = breaks[i][0].start() if i in breaks else len(line)
@@ -243,24 +247,25 @@ PLACES = (
 )
 
 
-def locate(spark: SparkSession, blocks: DataFrame, bits: bytes) -> DataFrame:
-    """The places of what the filter lets through, and F: lines that may be furniture, at the ends of a block or recurring."""
-    shared = spark.sparkContext.broadcast(bits)
-
+def found_in(known: bytes) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, mask = shared.value, (1 << BITS) - 1
+        mask = (1 << BITS) - 1
 
         @lru_cache(1 << 17)
         def let(kind: str, key: str) -> bool:
             h = zlib.crc32(f"{kind}\x1f{key}".encode("utf-8", "replace")) & mask
             return bool(known[h >> 3] >> (h & 7) & 1)
 
+        @lru_cache(1 << 17)
+        def wanted(w: str) -> bool:
+            return let("n", w) if _NUMBER.match(w) else len(w) > 1 and is_word(w) and let("w", w.lower())
+
         for b in batches:
             rows = []
             for source, block, page, ord_, zone, text in b.itertuples(index=False, name=None):
                 lines = lines_of(text)
                 head = (source, block, page, ord_)
-                rows += [(*head, kind, i, at, len(lines), key, w, other, zone, None, None) for kind, i, at, key, w, other in looked_at(lines, let)]
+                rows += [(*head, kind, i, at, len(lines), key, w, other, zone, None, None) for kind, i, at, key, w, other in looked_at(lines, let, wanted)]
                 for i, line in enumerate(lines):
                     keys = [part_key(p) for p in parts_of(line)]
                     if i in (0, len(lines) - 1) or _PAGE.match(line) or any(let("P", f"{source}\x1f{k}") for k in keys):
@@ -268,7 +273,13 @@ def locate(spark: SparkSession, blocks: DataFrame, bits: bytes) -> DataFrame:
                         rows.append((*head, "F", i, 0, len(lines), None, None, None, zone, line_features(line.strip(), beside.strip(), len(keys)), keys))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PLACES.split(", ")])
 
-    return blocks.mapInPandas(find, PLACES)
+    return find
+
+
+def locate(spark: SparkSession, blocks: DataFrame, bits: bytes) -> DataFrame:
+    """The places of what the filter lets through, and F: lines that may be furniture, at the ends of a block or recurring."""
+    shared = spark.sparkContext.broadcast(bits)
+    return blocks.mapInPandas(lambda batches: found_in(shared.value)(batches), PLACES)
 
 
 def sample_of(df: DataFrame, columns: list[str], rows: int = TRAIN) -> pd.DataFrame:
@@ -395,9 +406,13 @@ def fold(word: str) -> str:
 def explained(token: str, word: str) -> float:
     """1 if a single confusion makes the token of the word, 0.5 if their skeletons agree."""
     for a, b in CONFUSIONS:
-        for m in re.finditer(re.escape(a), word):
-            if word[: m.start()] + b + word[m.end() :] == token:
+        if a not in word or b not in token or len(word) - len(a) != len(token) - len(b):
+            continue
+        i = word.find(a)
+        while i >= 0:
+            if token[:i] == word[:i] and token.startswith(b, i) and token[i + len(b) :] == word[i + len(a) :]:
                 return 1.0
+            i = word.find(a, i + 1)
     return 0.5 if fold(token) == fold(word) else 0.0
 
 
