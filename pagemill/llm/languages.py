@@ -76,7 +76,7 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 
 
 def script_table() -> np.ndarray:
-    if not _LETTER.any():
+    if not _LETTER[ord("a")]:
         _LETTER[:] = code_points(lambda c: next((k for k, (_, p) in enumerate(SCRIPTS, 1) if c != "・" and p.match(c)), 0), np.uint8)
         _LOWER[:] = code_points(lambda c: ord(c.lower()[0]) if c.isalpha() else 32, np.uint32)
         _SOLID[:] = code_points(lambda c: not c.isspace())
@@ -312,7 +312,8 @@ PASSAGES = "array<struct<start_pos:int,end_pos:int,lang:string,confidence:double
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang, main, confidence, n_chars, passages) of every document; lang is the label it came with."""
+    """(doc_id, lang, main, confidence, n_chars, sizes, passages) of every document; lang is the label it came with and
+    sizes are the characters of each language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -329,10 +330,10 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
                 main = max(sorted(sizes), key=sizes.get) if sizes else "und"
                 total = sum(sizes.values())
                 parts = [dict(zip(("start_pos", "end_pos", "lang", "confidence", "n_chars"), p)) for p in found]
-                rows.append((doc_id, label, main, sure[main] / max(sizes[main], 1) if sizes else 0.0, total, parts))
-            yield pd.DataFrame(rows, columns=["doc_id", "lang", "main", "confidence", "n_chars", "passages"])
+                rows.append((doc_id, label, main, sure[main] / max(sizes[main], 1) if sizes else 0.0, total, [{"lang": c, "n": n} for c, n in sizes.items()], parts))
+            yield pd.DataFrame(rows, columns=["doc_id", "lang", "main", "confidence", "n_chars", "sizes", "passages"])
 
-    schema = f"doc_id bigint, lang string, main string, confidence double, n_chars int, passages {PASSAGES}"
+    schema = f"doc_id bigint, lang string, main string, confidence double, n_chars int, sizes array<struct<lang:string,n:int>>, passages {PASSAGES}"
     return spread(docs.select("doc_id", "lang", "text")).mapInPandas(scan, schema)
 
 
@@ -353,17 +354,12 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identified(table(spark, sf_dir, "documents"), trained(spark, sf_dir))
     named = F.create_map([F.lit(x) for pair in CODE_OF.items() for x in pair])
     label = named[F.lower(F.trim(F.split("lang", "[-_]")[0]))]
-    wrong = found.filter((F.col("main") != "und") & (label.isNull() | (label != F.col("main"))))
-    each = (
-        found.select("doc_id", "main", "n_chars", F.explode("passages").alias("p"))
-        .groupBy("doc_id", "main", "n_chars", F.col("p.lang").alias("lang"))
-        .agg(F.sum("p.n_chars").alias("n"))
-        .filter((F.col("n") >= MIN_CHARS) & (F.col("n") >= MIN_SHARE * F.col("n_chars")))
-    )
-    several = Window.partitionBy("doc_id")
-    mixed = each.withColumn("k", F.count("*").over(several)).filter("k > 1")
-    return (
-        wrong.select("doc_id", F.lit("label").alias("issue"), F.col("main").alias("lang"))
-        .unionByName(mixed.select("doc_id", F.lit("mixed").alias("issue"), "lang"))
-        .distinct()
+    wrong = (F.col("main") != "und") & (label.isNull() | (label != F.col("main")))
+    large = F.filter("sizes", lambda x: (x["n"] >= MIN_CHARS) & (x["n"] >= MIN_SHARE * F.col("n_chars")))
+    issue = lambda name, lang: F.struct(F.lit(name).alias("issue"), lang.alias("lang"))
+    # both kinds from one pass over the texts
+    each = F.concat(
+        F.when(wrong, F.array(issue("label", F.col("main")))).otherwise(F.array().cast("array<struct<issue:string,lang:string>>")),
+        F.when(F.size(large) > 1, F.transform(large, lambda x: issue("mixed", x["lang"]))).otherwise(F.array().cast("array<struct<issue:string,lang:string>>")),
     )
+    return found.select("doc_id", F.inline(each)).distinct()
