@@ -11,9 +11,10 @@ no tree can tell them apart by triangles. The README has the share of nodes visi
 
 Why not broadcast every tree: codes of all texts have no size bound. A shard's tree goes where its rows are shuffled; a
 hot band is cut by size, as similar texts are in the same class of sizes or in the next, and then into shards of which
-each gets the queries of the band and size. Bands overlap: 16 sets of three of the 64 min-hashes, which are those of all
-shingles alike. A pair at 0.7 shares none with a probability of 0.0012 (0.0002 at 0.75) and is beyond the radius with one
-of 0.0003; the measured recall is in the README.
+each gets the queries of the band and size. Bands overlap: 14 sets of three of the 64 min-hashes, which are those of all
+shingles alike. A pair at 0.7 shares none with a probability of 0.003 (0.0006 at 0.75) and is beyond the radius with one
+of 0.021 (0.002 at 0.75): a wider one lets through many times as many dissimilar texts of one form. The measured recall is
+in the README.
 
 Texts equal but for U+0020, tab, CR and LF are one class; only classes are compared. Null texts and texts with fewer
 than five such characters are similar to nothing, each a class of its own. Repeated rows of a key count once.
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 from pagemill.session import checkpointed, small_side, spread, table
 
 SHINGLE, THRESHOLD = 5, 0.7
-HASHES, ROWS, BANDS = 64, 3, 16
-#: Min-hashes whose two bits may differ: at 0.7 a pair of bits differs with a probability of 0.225, more than 26 with 0.0003.
-DIFFER = 26
+HASHES, ROWS, BANDS = 64, 3, 14
+#: Min-hashes whose two bits may differ: at 0.7 a pair of bits differs with a probability of 0.225, more than 21 with 0.021; at 0.75 with 0.002.
+DIFFER = 21
 #: Bits of the unary part for each factor of e in size, and how many similar texts may differ by: sizes of 1 to 0.7.
 LEVELS = 512
 APART = int(LEVELS * 0.3567) + 1
@@ -69,9 +70,8 @@ def shingle_hashes(p: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(32)).astype(np.uint32)
 
 
-def signature(p: np.ndarray) -> np.ndarray:
+def signature(x: np.ndarray) -> np.ndarray:
     """The least value of each hash function over the shingles: two texts agree in one with the probability of their similarity."""
-    x = shingle_hashes(p)
     out = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
     for at in range(0, len(x), 4096):
         np.minimum(out, (x[at : at + 4096] * _MUL).min(axis=1), out=out)
@@ -84,9 +84,9 @@ def fingerprint(sig: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.packbits((h >> np.uint32(k) & np.uint32(1)).astype(np.uint8)).view(">i8")[0]) for k in (23, 27))
 
 
-def level(p: np.ndarray) -> int:
+def level(n: int) -> int:
     """The size of a text in the unary part of its code: the logarithm of its number of distinct shingles."""
-    return int(LEVELS * np.log(len(np.unique(shingle_hashes(p)))))
+    return int(LEVELS * np.log(n))
 
 
 def code(fp: int, fp2: int) -> int:
@@ -150,8 +150,9 @@ def signed(rows: DataFrame, key: str, text: str) -> DataFrame:
             for k, t in zip(b[key], b[text]):
                 p = compact(t)
                 if len(p) >= SHINGLE:
-                    s = signature(p)
-                    out.append((k, hashlib.md5(p.tobytes()).digest(), *fingerprint(s), level(p), bands(s)))
+                    x = np.unique(shingle_hashes(p))
+                    s = signature(x)
+                    out.append((k, hashlib.md5(p.tobytes()).digest(), *fingerprint(s), level(len(x)), bands(s)))
             yield pd.DataFrame(out, columns=["key", "id", "fp", "fp2", "level", "bands"])
 
     rows = spread(rows.select(key, text).filter(F.col(text).isNotNull()))
