@@ -9,7 +9,8 @@ The vocabulary is that of all texts of both tables. It is cut into shards by the
 shard with suspect tokens gets a trie in a task of its own, so neither the driver nor any task holds the vocabulary. The
 distinct tokens with their new spellings are broadcast up to a measured size and joined with their rows beyond it.
 
-Null and empty texts stay as they are. Full-width punctuation, typographic quotes and dashes, circled numbers,
+Null and empty texts stay as they are. An ideographic space beside ideographs, kana or their punctuation is the space of
+that writing and is kept; between other letters it is a look-alike. Full-width punctuation, typographic quotes and dashes, circled numbers,
 superscripts, formula letters, and joiners that an emoji or an Indic spelling needs are kept.
 """
 
@@ -59,7 +60,8 @@ _SUSPECT: np.ndarray | None = None
 _TABLE = re.compile(f"[{WIDE}{HALF_KANA}{LIGATURES}{RADICALS}]+")
 _INVISIBLE = re.compile(f"[{INVISIBLE}]")
 _JOINER = re.compile(f"[{JOINERS}]")
-_SPACE = re.compile(f"[{SPACES}]")
+_EAST = "\u2e80-\u2fff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\u201c\u201d"
+_SPACE = re.compile(f"[{SPACES[:-1]}]|(?<![{_EAST}\u3000])\u3000+(?![{_EAST}\u3000])")
 _CODE = re.compile(f"(?<![^\\W_])([A-ZＡ-Ｚ]{{1,5}})[{HYPHENS}](?=[0-9０-９]{{2,}})")
 _MARKED = regex.compile(r"[^\W\d_]\p{M}+|[\u1100-\u11ff]{2,}")
 #: Runs of letters of the scripts that share shapes, with what may be hidden in them.
@@ -256,7 +258,7 @@ def canonical(text: str | None, spelled: Callable[[str, str], str | None]) -> tu
     text = _TABLE.sub(compatible, text)
     text = _INVISIBLE.sub(put(""), text)
     text = _JOINER.sub(joiner, text)
-    text = _SPACE.sub(put(" "), text)
+    text = _SPACE.sub(lambda m: put(" " * len(m[0]))(m), text)
     text = _CODE.sub(lambda m: put(m[1] + "-")(m), text)
     text = _MARKED.sub(marked, text)
     return (text, n) if n else None
