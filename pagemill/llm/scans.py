@@ -62,6 +62,8 @@ _NUMBER = re.compile(r"(?=[lIO0-9]*[lIO])(?=[lIO]*[0-9]|lO|IO|Ol|ll)[lIO0-9]{2,}
 _DIGITS, _RADICAL = re.compile(r"\d"), re.compile("[⺀-⿕]")
 _HAN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _BREAK = re.compile("([^\\W_]+(?:['’][^\\W_]+)*)([-¬­‐‑])[ \t]*$")
+# what makes a word part of a code, a path or a formula
+_GLUE, _GLUE_BEFORE = frozenset("-/_=+"), frozenset("-/_.=+")
 _BREAKS = tuple("-¬­‐‑")
 _START = re.compile("[ \t]*([^\\W\\d_]+)")
 _COMPOUND = regex.compile(r"[^\W\d_]+-[^\W\d_]+")
@@ -188,7 +190,7 @@ def looked_at(lines: list[str], let: Callable[[str, str], bool], wanted: Callabl
                 continue
             if _NUMBER.match(w):
                 yield "n", i, m.start(), w, w, ""
-            elif before not in "-/_.=+" + "@" * (not before) and after not in "-/_=+" + "@" * (not after) and not _CODE.match(w):
+            elif before not in _GLUE_BEFORE and after not in _GLUE and not _CODE.match(w):
                 yield "w", i, m.start(), w.lower(), w, ""
     whole = "\n".join(lines)
     if not whole.isascii():
@@ -298,8 +300,9 @@ def furniture(places: DataFrame, again: DataFrame) -> DataFrame:
     """(source, block_id, line) of the lines that are running headers, footers or page numbers.
 
     The classifier sees a line, the one beside it, on how many pages its parts recur, how often in a margin, and the place
-    of its block. It is trained on one-line blocks in margins against lines off the edges of pages; as furniture may be
-    glued to a block or have no box, each sample also counts with other places, which then say nothing.
+    of its block. It is trained on one-line blocks in margins against lines off the edges of pages or of their own kind; as furniture may be
+    glued to a block or have no box, each sample also counts with other places, which then say nothing. Without blocks in
+    margins there is nothing to learn from and no furniture.
     """
     lines = places.filter("kind = 'F'").select("source", "block_id", "page", "ord", "line", "n_lines", "zone", "x", "parts")
     key = ["source", "block_id", "line"]
@@ -317,7 +320,10 @@ def furniture(places: DataFrame, again: DataFrame) -> DataFrame:
     known = checkpointed(known.dropDuplicates(key))
     columns = ["n_lines", "zone", "edge", "x"]
     good = sample_of(known.filter("n_lines = 1 and zone = 1"), columns)
-    bad = sample_of(known.filter("zone = 0 and not edge"), columns)
+    plain = (F.col("x")[0] == 0) & (F.col("x")[11] <= 1)
+    bad = sample_of(known.filter((F.col("zone") == 0) & (~F.col("edge") | plain)), columns)
+    if not len(good) or not len(bad):
+        return known.select(*key).filter("false")  # nothing to learn from
 
     def x(d: pd.DataFrame) -> np.ndarray:
         own = np.array([list(v) for v in d["x"]], dtype=float).reshape(len(d), 15)
