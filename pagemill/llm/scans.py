@@ -94,6 +94,11 @@ def part_key(part: str) -> int:
     return zlib.crc32(part.encode()) | len(part) << 32
 
 
+def is_code(w: str) -> bool:
+    """Whether it is a number with letters or a code; a lower-case word of some length with one digit may be a misread word."""
+    return bool(_CODE.match(w)) and not (w.islower() and len(w) > 4 and sum(map(str.isdigit, w)) == 1)
+
+
 def line_features(line: str, beside: str, parts: int) -> list[float]:
     """What tells furniture by itself and against the line beside it."""
     end = len(line)
@@ -190,7 +195,7 @@ def looked_at(lines: list[str], let: Callable[[str, str], bool], wanted: Callabl
                 continue
             if _NUMBER.match(w):
                 yield "n", i, m.start(), w, w, ""
-            elif before not in _GLUE_BEFORE and after not in _GLUE and not _CODE.match(w):
+            elif before not in _GLUE_BEFORE and after not in _GLUE and not is_code(w):
                 yield "w", i, m.start(), w.lower(), w, ""
     whole = "\n".join(lines)
     if not whole.isascii():
