@@ -41,6 +41,8 @@ DIFFER = 21
 LEVELS = 512
 APART = int(LEVELS * 0.3567) + 1
 RADIUS = 2 * DIFFER + APART
+#: Shingles that go through the hash functions together, and texts of a group.
+TOGETHER, GROUP = 8192, 500
 #: Most codes in one tree.
 SHARD = 4000
 
@@ -70,6 +72,38 @@ def shingle_hashes(p: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(32)).astype(np.uint32)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The values in order, each once."""
+    x = np.sort(x)
+    keep = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=keep[1:])
+    return x[keep]
+
+
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """The signature of each set of shingle hashes; small sets go through the hash functions together."""
+    out = np.empty((len(sets), HASHES), dtype=np.uint32)
+    a = 0
+    while a < len(sets):
+        b, n = a, 0
+        while b < len(sets) and (b == a or n + len(sets[b]) <= TOGETHER):
+            n += len(sets[b])
+            b += 1
+        if n > TOGETHER:
+            out[a] = signature(sets[a])
+        else:
+            starts = np.cumsum([0] + [len(x) for x in sets[a : b - 1]])
+            out[a:b] = np.minimum.reduceat(np.concatenate(sets[a:b]) * _MUL, starts, axis=1).T
+        a = b
+    return out
+
+
+def fingerprints(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of each min-hash of each signature, in two numbers of 64 bits."""
+    h = sigs * np.uint32(0x9E3779B1)
+    return tuple(np.packbits((h >> np.uint32(k) & np.uint32(1)).astype(np.uint8), axis=1).view(">i8")[:, 0].astype(np.int64) for k in (23, 27))
+
+
 def signature(x: np.ndarray) -> np.ndarray:
     """The least value of each hash function over the shingles: two texts agree in one with the probability of their similarity."""
     out = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
@@ -78,12 +112,6 @@ def signature(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint(sig: np.ndarray) -> tuple[int, int]:
-    """Two bits of each min-hash, in two numbers of 64 bits."""
-    h = sig * np.uint32(0x9E3779B1)
-    return tuple(int(np.packbits((h >> np.uint32(k) & np.uint32(1)).astype(np.uint8)).view(">i8")[0]) for k in (23, 27))
-
-
 def level(n: int) -> int:
     """The size of a text in the unary part of its code: the logarithm of its number of distinct shingles."""
     return int(LEVELS * np.log(n))
@@ -95,11 +123,11 @@ def code(fp: int, fp2: int) -> int:
     return a << 128 | b << 64 | a ^ b
 
 
-def bands(sig: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each band, different for the same values in different bands."""
-    s, k = sig[_BAND].astype(np.uint64), _WEIGHT
+def bands(sigs: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each band of each signature, different for the same values in different bands."""
+    s, k = sigs[:, _BAND].astype(np.uint64), _WEIGHT[None]
     for r in range(ROWS):
-        k = (k ^ s[:, r]) * _MIX
+        k = (k ^ s[:, :, r]) * _MIX
         k ^= k >> np.uint64(29)
     return k.view(np.int64)
 
@@ -146,14 +174,18 @@ def signed(rows: DataFrame, key: str, text: str) -> DataFrame:
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for k, t in zip(b[key], b[text]):
-                p = compact(t)
-                if len(p) >= SHINGLE:
-                    x = np.unique(shingle_hashes(p))
-                    s = signature(x)
-                    out.append((k, hashlib.md5(p.tobytes()).digest(), *fingerprint(s), level(len(x)), bands(s)))
-            yield pd.DataFrame(out, columns=["key", "id", "fp", "fp2", "level", "bands"])
+            for at in range(0, len(b), GROUP):
+                keys, ids, sets = [], [], []
+                for k, t in zip(b[key].iloc[at : at + GROUP], b[text].iloc[at : at + GROUP]):
+                    p = compact(t)
+                    if len(p) >= SHINGLE:
+                        keys.append(k)
+                        ids.append(hashlib.md5(p.tobytes()).digest())
+                        sets.append(distinct(shingle_hashes(p)))
+                if keys:
+                    sigs = signatures(sets)
+                    fp, fp2 = fingerprints(sigs)
+                    yield pd.DataFrame({"key": keys, "id": ids, "fp": fp, "fp2": fp2, "level": [level(len(x)) for x in sets], "bands": list(bands(sigs))})
 
     rows = spread(rows.select(key, text).filter(F.col(text).isNotNull()))
     return rows.mapInPandas(scan, "key string, id binary, fp bigint, fp2 bigint, level int, bands array<bigint>")
@@ -242,7 +274,7 @@ def shingle_set(text: str) -> np.ndarray:
         h *= _MIX
         h ^= h >> np.uint64(31)
         h += p[k : k + n]
-    return np.unique(h)
+    return distinct(h)
 
 
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
