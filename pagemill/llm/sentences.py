@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 from pagemill.session import bounded_sample, small_side, spread, table
 
-#: Texts that the model is trained on, the lowest by hash, and the characters of each.
+#: Texts that the model is trained on, the lowest by hash, and the longest of them: longer ones are no sample.
 TRAIN_ROWS, TRAIN_CHARS = 4000, 4000
 BUCKETS = 1 << 14
+#: Longest cell of a line that is taken for a table line; prose with two semicolons has longer parts.
+CELL = 100
 
 MARKS = ".!?…。！？．｡؟।॥"
 CLOSERS = "\"'”’“»›」』）)\\]】》"
@@ -62,6 +64,7 @@ _LIST = re.compile("[ \t]*(?:[-–—*•·▪◦‣>+]|\\(?\\d{1,3}[.)、．]|\
 _HEADING = re.compile("[ \t]*(?:\\d{1,3}(?:\\.\\d{1,3})+|\\d{1,3}\\.)[ \t]+\\S|[ \t]*第[^\n]{1,6}[章节節条]")
 _CJK = re.compile("[぀-ヿ㐀-鿿豈-﫿]")
 _TABLE_LINE = re.compile("\t|\\||[ 　]{3,}\\S|(?:;[^;\n]*){2,}|\\.{4,}")
+_CELLS = re.compile("[;|\t]|\\s{3,}|[.…]{4,}")
 
 
 def shape(token: str) -> str:
@@ -158,8 +161,8 @@ def candidates(line: str) -> Iterator[tuple[int, tuple, str]]:
 
 
 def one_unit(line: str) -> bool:
-    """List lines, table lines and numbered headings."""
-    if _LIST.match(line) and len(line) < 80 or _TABLE_LINE.search(line):
+    """List lines, table lines, whose cells are short, and numbered headings."""
+    if _LIST.match(line) and len(line) < 80 or _TABLE_LINE.search(line) and max(map(len, _CELLS.split(line))) <= CELL:
         return True
     return bool(_HEADING.match(line)) and len(line) < 100 and line.rstrip()[-1:] not in MARKS
 
@@ -246,7 +249,7 @@ def labelled(texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[float
 
 def trained(df: DataFrame, text: str) -> MaxEnt:
     x = F.col(text)
-    rows = bounded_sample(df.filter(F.length(x) > 60).select(F.substring(x, 1, TRAIN_CHARS).alias("t")), "t", TRAIN_ROWS).collect()
+    rows = bounded_sample(df.filter(F.length(x).between(61, TRAIN_CHARS)).select(x.alias("t")), "t", TRAIN_ROWS).collect()
     return MaxEnt(*labelled([r["t"] for r in rows]))
 
 
