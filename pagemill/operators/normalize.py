@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemill.config import Normalization
 from pagemill.functions.text import WS, ZH, col, strip
+from pagemill.operators.validation import computed
 from pagemill.session import small_side
 
 # What noise is.
@@ -118,15 +119,17 @@ def normalize_blocks(blocks: DataFrame, n: Normalization = Normalization()) -> D
     if n.remove_headers_footers:
         blocks = blocks.filter(~is_text | ~is_header_footer("content_text", "bbox", n.header_footer_max_lines))
     table = F.col("content_table")
-    out = blocks.withColumns(
+    # computed once a row: the filter that follows would else repeat the fold over the lines
+    out = computed(
+        blocks,
         {
             "content_text": F.when(is_text, text_of("content_text", n)).otherwise(F.col("content_text")),
             "content_table": F.when(table.isNotNull(), table.withField("rows", clean_rows(table["rows"]))),
             "confidence": F.when(is_text, ocr_confidence("confidence", "metadata.is_ocr")).otherwise(F.col("confidence")),
             "metadata": ocr_reason("metadata", is_text),
-        }
+        },
     )
-    return out.filter(~is_text | is_valid("content_text", n.min_line_length))
+    return out.filter(~is_text | is_valid("content_text", n.min_line_length)).select(*blocks.columns)
 
 
 def header_patterns(blocks: DataFrame, share: float = 0.5) -> DataFrame:
