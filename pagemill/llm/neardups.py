@@ -13,7 +13,7 @@ Why not broadcast every tree: codes of all texts have no size bound. A shard's t
 hot band is cut by size, as similar texts are in the same class of sizes or in the next, and then into shards of which
 each gets the queries of the band and size. Bands overlap: 14 sets of three of the 64 min-hashes, which are those of all
 shingles alike. A pair at 0.7 shares none with a probability of 0.003 (0.0006 at 0.75) and is beyond the radius with one
-of 0.021 (0.002 at 0.75): a wider one lets through many times as many dissimilar texts of one form. The measured recall is
+of 0.004 (0.0003 at 0.75): a wider one lets through many times as many dissimilar texts of one form. The measured recall is
 in the README.
 
 Texts equal but for U+0020, tab, CR and LF are one class; only classes are compared. Null texts and texts with fewer
@@ -35,8 +35,8 @@ from pagemill.session import checkpointed, small_side, spread, table
 
 SHINGLE, THRESHOLD = 5, 0.7
 HASHES, ROWS, BANDS = 64, 3, 14
-#: Min-hashes whose two bits may differ: at 0.7 a pair of bits differs with a probability of 0.225, more than 21 with 0.021; at 0.75 with 0.002.
-DIFFER = 21
+#: Min-hashes whose two bits may differ: at 0.7 a pair of bits differs with a probability of 0.225, more than 23 with 0.004; at 0.75 with 0.0003.
+DIFFER = 23
 #: Bits of the unary part for each factor of e in size, and how many similar texts may differ by: sizes of 1 to 0.7.
 LEVELS = 512
 APART = int(LEVELS * 0.3567) + 1
