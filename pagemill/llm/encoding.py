@@ -35,6 +35,8 @@ FLOOR = 2e-6
 PRIOR, RARE = 30.0, 0.5
 #: Cost of a change of chains within a stretch, as a logarithm, and the odds from which a stretch is looked at for such.
 SWITCH, STRONG = 25.0, 60.0
+#: Likeness to any chain's output from which changes of chains are looked for; what no chain yields lies at -13.
+LIKE = -10.0
 #: What sound text has in its favour there, as a logarithm, at each byte.
 LEAN = 0.3
 #: Of the ranked chains, those that are also tried with the edges of a stretch moved by up to two characters.
@@ -141,6 +143,7 @@ class Model:
         self.odds[plain] = -0.1
         self.log_q = np.log(sound / max(sound.sum(), 1) + FLOOR)
         self.plain = plain
+        self.known: dict[str, float] = {}
 
     def scores(self, raw: bytes) -> np.ndarray:
         return self.odds[buckets(raw)]
@@ -155,6 +158,20 @@ class Model:
         total = self.log_p[:, buckets(raw)].sum(1)
         return [self.chains[k] for k in np.argsort(-total)]
 
+    def oddness(self, run: str) -> float:
+        """The odds of a run of characters; the chains that are tried meet the same runs."""
+        if run not in self.known:
+            if len(self.known) > 20_000:
+                self.known.clear()
+            self.known[run] = float(self.scores(run.encode("utf-8", "replace")).sum())
+        return self.known[run]
+
+    def likeness(self, raw: bytes) -> float:
+        """Mean log probability of the bigrams beyond ASCII, each by the chain that explains it best."""
+        at = buckets(raw)
+        at = at[~self.plain[at]]
+        return float(self.log_p[:, at].max(0).mean()) if len(at) else 0.0
+
     def segments(self, raw: bytes) -> list[tuple[int, int]]:
         """Byte ranges between which the likeliest chain changes, those of sound text left out.
 
@@ -246,7 +263,7 @@ def undo_groups(model: Model, text: str, a: int, b: int, chain: tuple[str, ...],
             if r is not None:
                 failed += 1
         if r is None or len(r) >= len(x):
-            if model.scores(x.encode("utf-8", "replace")).sum() > 4:
+            if model.oddness(x) > 4:
                 failed += len(x)
             return x
         done += len(x)
@@ -270,6 +287,11 @@ def undo_all_but(text: str, chain: tuple[str, ...]) -> str | None:
     return text if text.count("\ufffd") * 5 <= len(text) else None
 
 
+def begins(text: str, a: int, b: int, chain: tuple[str, ...]) -> bool:
+    """Whether a stretch can be inverted from there at all: if its beginning can't, wherever it is cut, the whole can't."""
+    return b - a < 64 or any(undo(text[a : a + 48 - k], chain) is not None for k in range(8))
+
+
 def restore(model: Model, text: str, a: int, b: int, tight: bool = False) -> tuple[str, str, int, int, bool] | None:
     """(restored, chain, start, end, whole) of a stretch, or None if no likely chain can be inverted.
 
@@ -291,6 +313,8 @@ def restore(model: Model, text: str, a: int, b: int, tight: bool = False) -> tup
             continue  # what is short or hardly odd decodes by chance
         edges = (0, 1, -1, 2, -2) if k < EDGED and not MULTI.isdisjoint(chain[:2]) else (0,)
         for x in edges:
+            if x and not begins(text, max(0, a + x), b, chain):
+                continue
             for y in edges:
                 lo, hi = max(0, a + x), min(len(text), b + y)
                 r = undo(text[lo:hi], chain) if lo < hi else None
@@ -356,7 +380,7 @@ def parted(model: Model, text: str, a: int, b: int) -> list[tuple[str, str, int,
     """The fixes of a stretch in which one chain follows another, each found on its own; none if most of it has none."""
     part = text[a:b]
     raw = part.encode("utf-8", "replace")
-    if float(model.scores(raw).sum()) < STRONG:
+    if float(model.scores(raw).sum()) < STRONG or model.likeness(raw) < LIKE:
         return []
     chars = np.cumsum((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)
     fixes, odd, done, at = [], 0, 0, a
