@@ -161,8 +161,10 @@ def candidates(line: str) -> Iterator[tuple[int, tuple, str]]:
 
 
 def one_unit(line: str) -> bool:
-    """List lines, table lines, whose cells are short, and numbered headings."""
-    if _LIST.match(line) and len(line) < 80 or _TABLE_LINE.search(line) and max(map(len, _CELLS.split(line))) <= CELL:
+    """List lines, table lines, whose cells are short or no prose, and numbered headings."""
+    if _LIST.match(line) and len(line) < 80:
+        return True
+    if _TABLE_LINE.search(line) and (max(map(len, _CELLS.split(line))) <= CELL or sum(map(str.isalpha, line)) < 0.6 * len(line)):
         return True
     return bool(_HEADING.match(line)) and len(line) < 100 and line.rstrip()[-1:] not in MARKS
 
