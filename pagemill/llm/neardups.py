@@ -4,7 +4,8 @@ Method: BK-trees whose children are keyed by integer Hamming distance to the par
 64 min-hashes of its character shingles, as 192 bits in which two texts differ by twice the min-hashes that differ, and
 the logarithm of its number of shingles in unary, LEVELS bits to a factor of e. Similar texts are close in both, so the
 radius has a part of each. Codes are sharded by bands of three min-hashes; each shard holds one tree of at most SHARD
-codes, and queries follow only the edges within the radius. What is hit is verified exactly.
+codes, and queries follow only the edges within the radius, all of a shard's together. A third bit of each min-hash then
+rules out most of the hits that are not similar. What is left is verified exactly.
 
 What the tree prunes is mostly texts of another size: min-hash bits of unrelated texts all differ by about the same, so
 no tree can tell them apart by triangles. The README has the share of nodes visited.
@@ -35,16 +36,20 @@ from pagemill.session import checkpointed, small_side, spread, table
 
 SHINGLE, THRESHOLD = 5, 0.7
 HASHES, ROWS, BANDS = 64, 3, 14
-#: Min-hashes whose two bits may differ: at 0.7 a pair of bits differs with a probability of 0.225, more than 23 with 0.004; at 0.75 with 0.0003.
-DIFFER = 23
+#: Min-hashes whose two bits may differ: at 0.7 a pair of bits differs with a probability of 0.225, more than 24 with 0.003; at 0.75 with 0.0001.
+DIFFER = 24
 #: Bits of the unary part for each factor of e in size, and how many similar texts may differ by: sizes of 1 to 0.7.
 LEVELS = 512
 APART = int(LEVELS * 0.3567) + 1
 RADIUS = 2 * DIFFER + APART
+#: Min-hashes whose three bits may differ, looked at where the two don't rule a pair out: more than either at 0.7 with 0.003.
+DIFFER_3 = 27
+#: The parts of a code, as columns.
+CODE = ["fp", "fp2", "fp3", "level"]
 #: Shingles that go through the hash functions together, and texts of a group.
 TOGETHER, GROUP = 8192, 500
-#: Most codes in one tree.
-SHARD = 4000
+#: Most codes in one tree, in a leaf of it, and pairs of codes that are compared at a time.
+SHARD, LEAF, CELLS = 4000, 64, 1 << 16
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
@@ -98,10 +103,10 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fingerprints(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of each min-hash of each signature, in two numbers of 64 bits."""
+def fingerprints(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three bits of each min-hash of each signature, in three numbers of 64 bits."""
     h = sigs * np.uint32(0x9E3779B1)
-    return tuple(np.packbits((h >> np.uint32(k) & np.uint32(1)).astype(np.uint8), axis=1).view(">i8")[:, 0].astype(np.int64) for k in (23, 27))
+    return tuple(np.packbits((h >> np.uint32(k) & np.uint32(1)).astype(np.uint8), axis=1).view(">i8")[:, 0].astype(np.int64) for k in (23, 27, 30))
 
 
 def signature(x: np.ndarray) -> np.ndarray:
@@ -133,9 +138,10 @@ def bands(sigs: np.ndarray) -> np.ndarray:
 
 
 class BKTree:
-    """Codes by Hamming distance: a node is [bits, level, ids, {distance: node}].
+    """Codes by Hamming distance, one at a time: a node is [bits, level, ids, {distance: node}].
 
-    The distance is that of the bits and of the unary parts, which is the difference of the levels.
+    The distance is that of the bits and of the unary parts, which is the difference of the levels. Shards go through
+    `near_all`, where many queries follow the same edges together; tests hold it against this.
     """
 
     def __init__(self) -> None:
@@ -170,7 +176,7 @@ class BKTree:
 
 
 def signed(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, id, fp, fp2, level, bands) of each row that has a shingle; id is the digest of its compact form."""
+    """(key, id, fp, fp2, fp3, level, bands) of each row that has a shingle; id is the digest of its compact form."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -184,11 +190,11 @@ def signed(rows: DataFrame, key: str, text: str) -> DataFrame:
                         sets.append(distinct(shingle_hashes(p)))
                 if keys:
                     sigs = signatures(sets)
-                    fp, fp2 = fingerprints(sigs)
-                    yield pd.DataFrame({"key": keys, "id": ids, "fp": fp, "fp2": fp2, "level": [level(len(x)) for x in sets], "bands": list(bands(sigs))})
+                    fp, fp2, fp3 = fingerprints(sigs)
+                    yield pd.DataFrame({"key": keys, "id": ids, "fp": fp, "fp2": fp2, "fp3": fp3, "level": [level(len(x)) for x in sets], "bands": list(bands(sigs))})
 
     rows = spread(rows.select(key, text).filter(F.col(text).isNotNull()))
-    return rows.mapInPandas(scan, "key string, id binary, fp bigint, fp2 bigint, level int, bands array<bigint>")
+    return rows.mapInPandas(scan, "key string, id binary, fp bigint, fp2 bigint, fp3 bigint, level int, bands array<bigint>")
 
 
 def hot_bands(every: DataFrame) -> DataFrame:
@@ -209,13 +215,13 @@ def hot_bands(every: DataFrame) -> DataFrame:
 
 
 def sharded(reps: DataFrame, hot: DataFrame) -> DataFrame:
-    """(shard, rid, fp, fp2, level): each row in its shards; with a negative rid it only asks there.
+    """(shard, rid, fp, fp2, fp3, level): each row in its shards; with a negative rid it only asks there.
 
     In a hot band a row belongs to its class of sizes and asks in the class below; a class of more than SHARD rows is cut
     further, and a row then also asks in the shards before its own.
     """
-    each = reps.select("rid", "fp", "fp2", "level", F.explode("bands").alias("band"))
-    cool = each.join(hot, "band", "left_anti").select(F.col("band").alias("shard"), "rid", "fp", "fp2", "level")
+    each = reps.select("rid", *CODE, F.explode("bands").alias("band"))
+    cool = each.join(hot, "band", "left_anti").select(F.col("band").alias("shard"), "rid", *CODE)
     warm = each.join(hot, "band").withColumn("size", F.floor(F.col("level") / (APART + 1)))
     cuts = small_side(warm.groupBy("band", "size").agg(F.count("*").alias("n")).select("band", "size", F.ceil(F.col("n") / SHARD).alias("cuts")).filter("cuts > 1"))
     below = cuts.select("band", (F.col("size") + 1).alias("size"), F.col("cuts").alias("cuts_below"))
@@ -225,43 +231,114 @@ def sharded(reps: DataFrame, hot: DataFrame) -> DataFrame:
     asks_below = F.transform(F.sequence(F.lit(0).cast("bigint"), F.coalesce("cuts_below", F.lit(1)) - 1), lambda k: there(F.col("size") - 1, k, F.lit(-1)))
     warm = (
         warm.join(cuts, ["band", "size"], "left").join(below, ["band", "size"], "left").withColumn("own", own)
-        .select("fp", "fp2", "level", F.explode(F.concat(asks, asks_below)).alias("at")).select("at.shard", "at.rid", "fp", "fp2", "level")
+        .select(*CODE, F.explode(F.concat(asks, asks_below)).alias("at")).select("at.shard", "at.rid", *CODE)
     )
     return cool.union(warm)
 
 
+def ones(x: np.ndarray) -> np.ndarray:
+    """The bits that are set; numpy's own count takes the absolute value of signed numbers."""
+    return np.bitwise_count(x.view(np.uint64))
+
+
+def met(t: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in t, in q) of the codes within the radius of each other, by looking at each two of them."""
+    out = [(np.zeros(0, dtype=np.int64),) * 2]
+    step = max(CELLS // max(t.shape[1], 1), 1)
+    for at in range(0, q.shape[1], step):
+        p = q[:, at : at + step]
+        x = ones((t[0][:, None] ^ p[0]) | (t[1][:, None] ^ p[1])) <= DIFFER
+        i, j = np.nonzero(x & (np.abs(t[3][:, None] - p[3]) <= APART))
+        kept = alike(t[:, i], p[:, j])
+        out.append((i[kept], at + j[kept]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which codes of a are within all parts of the radius of those of b at the same places."""
+    x = a ^ b
+    two = x[0] | x[1]
+    return (ones(two) <= DIFFER) & (ones(two | x[2]) <= DIFFER_3) & (np.abs(a[3] - b[3]) <= APART)
+
+
+def near_all(t: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in t, in q) of the codes of a shard and of the queries that are within the radius of them.
+
+    A BK-tree of the codes t that all queries go through together: at a node each follows the edges within the radius of
+    its own distance. Up to LEAF codes make a leaf, of neighbouring edges where these have few, and are looked at one by one.
+    """
+    out = [(np.zeros(0, dtype=np.int64),) * 2]
+    todo = [(np.arange(t.shape[1]), np.arange(q.shape[1]))]
+    while todo:
+        ti, qi = todo.pop()
+        if not len(qi):
+            continue
+        if len(ti) <= LEAF:
+            i, j = met(t[:, ti], q[:, qi])
+            out.append((ti[i], qi[j]))
+            continue
+        root = t[:, ti[:1]]
+        from_root = lambda c, root=root: 2 * ones((c[0] ^ root[0]) | (c[1] ^ root[1])).astype(np.int64) + np.abs(c[3] - root[3])
+        d, dq = from_root(t[:, ti]), from_root(q[:, qi])
+        order, order_q = np.argsort(d, kind="stable"), np.argsort(dq, kind="stable")
+        ti, qi, dq = ti[order], qi[order_q], dq[order_q]
+        edge, starts = np.unique(d[order], return_index=True)
+        ends = [*starts[1:].tolist(), len(ti)]
+        first = 0
+        for k, (a, b) in enumerate(zip(starts.tolist(), ends)):
+            full = k + 1 == len(edge) or ends[k + 1] - starts[first] > LEAF
+            if full or edge[k] == 0:
+                lo, hi = np.searchsorted(dq, (edge[first] - RADIUS, edge[k] + RADIUS + 1)).tolist()
+                if edge[k] == 0:  # the root and those like it
+                    i, j = met(t[:, ti[a:b]], q[:, qi[lo:hi]])
+                    out.append((ti[a:b][i], qi[lo:hi][j]))
+                else:
+                    todo.append((ti[starts[first] : b], qi[lo:hi]))
+                first = k + 1
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def small_hits(key: np.ndarray, codes: np.ndarray, few: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, places) of the codes within the radius in the shards that are leaves, all of a batch together."""
+    for lag in range(1, LEAF):
+        i = np.flatnonzero((key[lag:] == key[:-lag]) & few[lag:])
+        if not len(i):
+            return
+        i = i[alike(codes[:, i], codes[:, i + lag])]
+        yield i, i + lag
+
+
 def tree_hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs within the radius in each shard; rows come sorted, those that only ask after those of the tree."""
-    now, tree, rest = None, BKTree(), None
+    """Pairs within the radius in each shard; rows come sorted, those that only ask after those of the tree.
+
+    The tree of the last shard of a batch is kept for those of its rows that come in the next.
+    """
+    now, kept, kept_rid = None, np.zeros((len(CODE), 0), dtype=np.int64), np.zeros(0, dtype=np.int64)
     for b in batches:
-        if rest is not None:
-            b = pd.concat([rest, b], ignore_index=True)
         if not len(b):
             continue
-        key = b["shard"].to_numpy()
+        key, rid = b["shard"].to_numpy(), b["rid"].to_numpy()
+        codes = np.stack([b[c].to_numpy().astype(np.int64) for c in CODE])
         edges = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(b)]])
         sizes = np.diff(edges)
-        alone = np.repeat(sizes == 1, sizes)
-        # the last row waits for the next batch: only then is it known to stand alone or not
-        alone[-1], alone[0] = False, alone[0] and now != key[0]
-        rest, work = b.iloc[-1:], b.iloc[:-1][~alone[:-1]]
-        now, tree, pairs = hits(work, now, tree)
-        yield pairs
-    if rest is not None:
-        yield hits(rest, now, tree)[2]
-
-
-def hits(rows: pd.DataFrame, now: int | None, tree: BKTree) -> tuple[int | None, BKTree, pd.DataFrame]:
-    found: dict[tuple[int, int], None] = {}
-    for shard, rid, fp, fp2, at in zip(*(rows[c].tolist() for c in ("shard", "rid", "fp", "fp2", "level"))):
-        if now != shard:
-            now, tree = shard, BKTree()
-        item, u = abs(rid), code(fp, fp2)
-        for other in tree.near(u, at):
-            found[min(item, other), max(item, other)] = None
-        if rid > 0:
-            tree.add(u, at, item)
-    return now, tree, pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
+        found = [(rid[i], rid[j]) for i, j in small_hits(key, codes, np.repeat(sizes <= LEAF, sizes))]
+        for k in np.flatnonzero(sizes > LEAF).tolist():
+            own = slice(edges[k], edges[k + 1])
+            i, j = near_all(codes[:, own][:, rid[own] > 0], codes[:, own])
+            found.append((rid[own][i[i < j]], rid[own][j[i < j]]))
+        if key[0] == now:
+            i, j = near_all(kept, codes[:, : edges[1]])
+            found.append((kept_rid[i], rid[: edges[1]][j]))
+        last = np.flatnonzero(rid[edges[-2] :] > 0) + edges[-2]
+        same = key[-1] == now
+        kept = np.concatenate([kept, codes[:, last]], axis=1) if same else codes[:, last]
+        kept_rid = np.concatenate([kept_rid, rid[last]]) if same else rid[last]
+        now = key[-1]
+        # of two that only ask, another shard has the tree
+        x, y = (np.concatenate(v) for v in zip((kept_rid[:0],) * 2, *found))
+        x, y = x[(x > 0) | (y > 0)], y[(x > 0) | (y > 0)]
+        x, y = np.abs(x), np.abs(y)
+        yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})[x != y].drop_duplicates()
 
 
 @lru_cache(4096)

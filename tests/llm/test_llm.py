@@ -194,6 +194,34 @@ def test_hot_bands_are_cut_without_loss(spark, monkeypatch):
     assert tree.visited < 0.5 * tree.size
 
 
+def test_a_full_shard_is_searched_in_little_time():
+    """All queries of a shard go through its tree together and find what each finds alone, over the ends of batches too."""
+    import time
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    codes = rng.integers(-(1 << 63), 1 << 63, (3, 4000))
+    codes[:, 2000:] = codes[:, :2000] ^ (1 << rng.integers(0, 62, 2000)) ^ (1 << rng.integers(0, 62, 2000))
+    level = np.concatenate([rng.integers(3000, 3100, 2000)] * 2)
+    rows = pd.DataFrame({"shard": 7, "rid": np.arange(4000, 0, -1), "fp": codes[0], "fp2": codes[1], "fp3": codes[2], "level": level})
+    rows.loc[3900:, "rid"] = -np.arange(5001, 5101)[::-1]  # these only ask
+    rows = pd.concat([rows, pd.DataFrame([(8, 9002, *codes[:, 0], 2000), (8, 9001, *codes[:, 0], 2000), (9, 9003, *codes[:, 0], 2000)], columns=rows.columns)])
+    began = time.process_time()
+    found = pd.concat(list(neardups.tree_hits(rows.iloc[a : a + 1500] for a in range(0, len(rows), 1500))))
+    assert time.process_time() - began < 1.5
+    tree, want = neardups.BKTree(), {(9001, 9002)}
+    own = rows[rows["shard"] == 7]
+    for rid, fp, fp2, at in zip(*(own[c].tolist() for c in ("rid", "fp", "fp2", "level"))):
+        if abs(rid) % 10 == 1:
+            want |= {(min(abs(rid), x), max(abs(rid), x)) for x in tree.near(neardups.code(fp, fp2), at)}
+        if rid > 0:
+            tree.add(neardups.code(fp, fp2), at, rid)
+    got = set(zip(found["a"].tolist(), found["b"].tolist()))
+    assert len(got) > 1900 and want <= got
+
+
 def test_near_duplicates_match_brute_force(spark):
     rnd = random.Random(2)
     words = ["pump", "valve", "sensor", "relay", "drive", "shaft", "inlet", "duct", "plant", "order", "label", "panel"]
