@@ -99,6 +99,32 @@ def test_scanned_pages(spark):
     assert all(df.count() == 0 for df in scans.issues(spark.createDataFrame(rows, PAGE_BLOCKS).filter("false")).values())
 
 
+def test_lexicon_has_no_pieces_of_codes():
+    """Long codes hold any few letters; with many of them, misread words would count as known."""
+    import pandas as pd
+
+    text = "data:AbC/tbe+x0+re1ay/Q== l1/O0+1O 10l the relay's high-speed pump.\nplan, 1l units"
+    got = {(k, a): n for b in scans.count_lexicon(iter([pd.DataFrame({"content_text": [text, text]})])) for k, a, n in b.itertuples(index=False)}
+    assert {a for k, a in got if k == "w" and a.isalpha() or "'" in a} == {"data", "the", "relay's", "pump", "plan", "units"}
+    assert {a for k, a in got if k == "n"} == {"10l", "1l"} and got["h", "high-speed"] == 2
+
+
+def test_one_block_does_not_close_the_margin(spark):
+    """In a source of many pages a single block of several lines reaches into the margin; the lines there stay furniture."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    meta = (None, None, None, None, None, None, None, True, None)
+    rows = []
+    for p in range(1500):
+        rows.append(("scan", p, 0, "text", "\n".join(" ".join(word() for _ in range(5)) for _ in range(3)), None, 1.0, [0.0, 60.0, 9.0, 790.0 if p == 7 else 400.0], f"b{p}", meta))
+        rows.append(("scan", p, 1, "text", f"{word()} {p + 1}", None, 1.0, [0.0, 770.0, 9.0, 785.0], f"f{p}", meta))
+    from pagemill.schemas import PAGE_BLOCKS
+
+    found = scans.issues(spark.createDataFrame(rows, PAGE_BLOCKS))["furniture"]
+    got = {r["block_id"] for r in found.select("block_id").distinct().collect()}
+    assert sum(b[0] == "f" for b in got) > 1400 and sum(b[0] == "b" for b in got) < 30
+
+
 def test_prefixes_meet_every_word_within_reach():
     """The rare bigrams of two words within the edits share one, whatever the frequencies."""
     rnd = random.Random(7)
