@@ -80,6 +80,17 @@ def flag_table() -> np.ndarray:
     return _FLAG
 
 
+#: Bits of a number that each of three flags has for its sum over a line.
+LANE = 21
+
+
+@lru_cache(1)
+def lanes() -> list[np.ndarray]:
+    """The bits of each three of FLAGS by code point, apart, so that they are summed together."""
+    t = flag_table().astype(np.int64)
+    return [sum((t >> i & 1) << LANE * (i % 3) for i in range(at, at + 3)) for at in range(0, len(FLAGS), 3)]
+
+
 _LETTERS = regex.compile(r"[\p{L}\p{M}]")
 _RUN = regex.compile(r"[\p{L}\p{M}\p{N}]")
 _SINGLE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
@@ -127,9 +138,14 @@ def is_contents(text: str) -> bool:
 def counted(lines: list[str]) -> list[dict[str, int]]:
     """How many characters of each line have each flag."""
     points = np.frombuffer("\n".join([*lines, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    bits = flag_table()[points]
-    starts = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])[:-1]]).astype(int)
-    sums = [np.add.reduceat((bits >> i & 1).astype(np.int64), starts).tolist() for i in range(len(FLAGS))]
+    sizes = [len(x) + 1 for x in lines]
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
+    if max(sizes) < 1 << LANE:
+        three = [np.add.reduceat(t[points], starts) for t in lanes()]
+        sums = [(x >> LANE * i & (1 << LANE) - 1).tolist() for x in three for i in range(3)]
+    else:
+        bits = flag_table()[points]
+        sums = [np.add.reduceat((bits >> i & 1).astype(np.int64), starts).tolist() for i in range(len(FLAGS))]
     return [dict(zip(FLAGS, x)) for x in zip(*sums)]
 
 
@@ -152,7 +168,8 @@ def is_junk(text: str, k: dict[str, int]) -> bool:
         dumb = sum(len(w) for w in words if len(w) >= 3 and not w.isupper() and len(_VOWEL.findall(w)) < 0.15 * len(w))
         if len(words) >= 3 and dumb > 0.5 * sum(map(len, words)):
             return True
-    return n >= 12 and len(set(text)) <= 5 and not is_contents(text)
+    # most texts have more than five characters among their first ones
+    return n >= 12 and len(set(text[:40])) <= 5 and len(set(text)) <= 5 and not is_contents(text)
 
 
 def alignment(lines: list[str]) -> list[str]:
@@ -256,7 +273,7 @@ def evidence(lines: list[str], kind: str, common: set[str]) -> float:
 
 def line_kinds(lines: list[str], counts: list[dict[str, int]], common: set[str] = frozenset()) -> list[str]:
     """'list', 'table', 'junk' or 'prose' for each line."""
-    if len(lines) > 1 and is_junk("\n".join(lines), {f: sum(k[f] for k in counts) for f in FLAGS}):
+    if len(lines) > 1 and is_junk("\n".join(lines), dict(zip(FLAGS, map(sum, zip(*(k.values() for k in counts)))))):
         return ["junk"] * len(lines)
     aligned = alignment(lines)
     marked = [bool(_MARKER.match(x)) and len(x) < 160 for x in lines]
@@ -293,13 +310,8 @@ def line_kinds(lines: list[str], counts: list[dict[str, int]], common: set[str]
     return out
 
 
-def statistics(text: str | None, common: set[str]) -> dict:
-    """All statistics of one text; `kind` is empty for prose."""
-    text = text or ""
-    lines = [x for x in text.split("\n") if x.strip()]
-    words, chars, known = usual(text, common)
-    n = len(text)
-    counts = counted(lines) if lines else []
+def kind_of(lines: list[str], counts: list[dict[str, int]], common: set[str]) -> tuple[str, float]:
+    """(what a text of these lines is, '' for prose, its share of no prose)."""
     kinds = line_kinds(lines, counts, common)
     solid = [k["solid"] for k in counts]
     share = Counter()
@@ -307,7 +319,22 @@ def statistics(text: str | None, common: set[str]) -> dict:
         share[k] += s
     total = sum(solid)
     other = {k: share[k] / total for k in ("list", "table", "junk") if total and share[k]}
-    kind = max(other, key=other.get) if sum(other.values()) > 0.5 else ""
+    return max(other, key=other.get) if sum(other.values()) > 0.5 else "", sum(other.values())
+
+
+def lines_of(text: str | None) -> tuple[list[str], list[dict[str, int]]]:
+    """The lines that aren't blank and the counts of their flags."""
+    lines = [x for x in (text or "").split("\n") if x.strip()]
+    return lines, counted(lines) if lines else []
+
+
+def statistics(text: str | None, common: set[str]) -> dict:
+    """All statistics of one text; `kind` is empty for prose."""
+    text = text or ""
+    words, chars, known = usual(text, common)
+    n = len(text)
+    lines, counts = lines_of(text)
+    kind, share = kind_of(lines, counts, common)
     return {
         "word_count": words,
         "mean_word_length": round(chars / words, 4) if words else 0.0,
@@ -316,7 +343,7 @@ def statistics(text: str | None, common: set[str]) -> dict:
         "common_word_share": round(known / words, 4) if words else 0.0,
         "length_autocorrelation": round(autocorrelation([len(x) for x in lines]), 4),
         "marker_periodicity": round(periodicity(lines), 4),
-        "no_prose_share": round(sum(other.values()), 4),
+        "no_prose_share": round(share, 4),
         "kind": kind,
     }
 
@@ -327,13 +354,17 @@ SCHEMA = (
 )
 
 
-def measured(df: DataFrame, key: str, text: str, common: DataFrame) -> DataFrame:
-    """(key, statistics) of every row."""
+def function_words(common: DataFrame):
+    """The function words, sent to all tasks."""
     rows = common.filter("word is not null").select("word").distinct()
     if (n := rows.count()) > MAX_COMMON:
         raise ValueError(f"{n} function words, more than {MAX_COMMON}")
-    words = {r["word"].lower() for r in rows.collect()}
-    shared = df.sparkSession.sparkContext.broadcast(words)
+    return common.sparkSession.sparkContext.broadcast({r["word"].lower() for r in rows.collect()})
+
+
+def measured(df: DataFrame, key: str, text: str, common: DataFrame) -> DataFrame:
+    """(key, statistics) of every row."""
+    shared = function_words(common)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = shared.value
@@ -343,6 +374,19 @@ def measured(df: DataFrame, key: str, text: str, common: DataFrame) -> DataFrame
     return spread(df.select(key, text)).mapInPandas(scan, f"{key} string, {SCHEMA}")
 
 
+def kinds(df: DataFrame, key: str, text: str, common: DataFrame) -> DataFrame:
+    """(key, kind) of the rows that are a list, a table or junk, without the statistics that the kind doesn't depend on."""
+    shared = function_words(common)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = shared.value
+        for b in batches:
+            found = [(k, kind) for k, t in zip(b[key], b[text]) if (kind := kind_of(*lines_of(t), w)[0])]
+            yield pd.DataFrame(found, columns=[key, "kind"])
+
+    return spread(df.select(key, text)).mapInPandas(scan, f"{key} string, kind string")
+
+
 def ratios(validation: DataFrame) -> DataFrame:
     """One row per chunk of the rule's ratios: null ones are passed over, those scaled to percent set right."""
     fixed = [F.max(F.when(F.col(c) > 1, F.col(c) / 100).otherwise(F.col(c))).alias(c) for c in ("info_density", "noise_ratio")]
@@ -357,5 +401,4 @@ def p3_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = measured(table(spark, sf_dir, "chunks"), "chunk_id", "content", table(spark, sf_dir, "common_words"))
-    return stats.filter("kind <> ''").select("chunk_id", "kind").distinct()
+    return kinds(table(spark, sf_dir, "chunks"), "chunk_id", "content", table(spark, sf_dir, "common_words")).distinct()

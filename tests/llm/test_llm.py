@@ -170,6 +170,17 @@ def test_quality_without_markers_and_delimiters():
         assert kind(prose) == ""
 
 
+def test_kind_alone_is_that_of_the_statistics():
+    common = {"the", "is", "in"}
+    texts = ["a\tb\nc\td\ne\tf", "- one\n- two\n- three", SENTENCE * 20, "0f3a9c 77ab01 9e8d7c 00ff12", "├──┤\n│  │", "", None, "x" * 30]
+    for t in texts:
+        assert quality.kind_of(*quality.lines_of(t), common)[0] == quality.statistics(t, common)["kind"]
+    # sums of a line too long for three of them in one number
+    long = "a$ 1" * (1 << 20)
+    got, short = quality.counted([long, "a$ 1"]), quality.counted(["a$ 1"])[0]
+    assert got == [{f: n << 20 for f, n in short.items()}, short] and short["symbol"] == short["digit"] == short["latin"] == 1
+
+
 def test_encoding_round_trip():
     rnd = random.Random(1)
     words = ["étanchéité", "réducteur", "conduite", "équilibre", "série", "contrôle", "après", "la", "à", "über", "Kühlgüter", "Gehäuse", "für", "die", "prüft", "Träger"]
