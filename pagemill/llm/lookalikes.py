@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -64,6 +65,8 @@ _EAST = "\u2e80-\u2fff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00
 _SPACE = re.compile(f"[{SPACES[:-1]}]|(?<![{_EAST}\u3000])\u3000+(?![{_EAST}\u3000])")
 _CODE = re.compile(f"(?<![^\\W_])([A-ZＡ-Ｚ]{{1,5}})[{HYPHENS}](?=[0-9０-９]{{2,}})")
 _MARKED = regex.compile(r"[^\W\d_]\p{M}+|[\u1100-\u11ff]{2,}")
+#: Ranges of code points without Latin, Cyrillic and Greek.
+OTHER_SCRIPTS = [("\u0590", "\u1c7f"), ("\u2e80", "\ua63f"), ("\uac00", "\ufaff")]
 #: Runs of letters of the scripts that share shapes, with what may be hidden in them.
 _TOKEN = regex.compile(rf"[\p{{Latin}}\p{{Cyrillic}}\p{{Greek}}\p{{M}}{INVISIBLE}{JOINERS}]+")
 _GREEK, _CYRILLIC, _LATIN = (regex.compile(rf"\p{{{x}}}") for x in ("Greek", "Cyrillic", "Latin"))
@@ -169,11 +172,26 @@ def joiner_needed(text: str, i: int) -> bool:
     return text[i] == "‌" and "؀" <= before <= "ۿ" and "؀" <= after <= "ۿ"
 
 
-def script(text: str) -> str:
-    """L, C or G: the script with most letters, of the three that share shapes; '' for none."""
-    n = {k: len(p.findall(text)) for k, p in (("L", _LATIN), ("C", _CYRILLIC), ("G", _GREEK))}
-    best = max(n, key=n.get)
-    return best if n[best] else ""
+def letters(text: str) -> tuple[int, int, int]:
+    """How many letters are Latin, Cyrillic and Greek."""
+    return len(_LATIN.findall(text)), len(_CYRILLIC.findall(text)), len(_GREEK.findall(text))
+
+
+def script(text: str, less: tuple[int, int, int] = (0, 0, 0), own: tuple[int, int, int] | None = None) -> str:
+    """L, C or G: the script with most letters, of the three that share shapes; '' for none.
+
+    own: the letters of the text where they are known; less: those that don't count.
+    """
+    n = [x - y for x, y in zip(own or letters(text), less)]
+    best = max(range(3), key=n.__getitem__)
+    return "LCG"[best] if n[best] else ""
+
+
+@lru_cache(1 << 16)
+def doubtful(token: str) -> tuple[int, int, int] | None:
+    """The letters of a token that mixes scripts, hides characters or is all look-alikes; None for any other."""
+    hidden = not _PLAIN.fullmatch(token) or _TABLE.search(token)
+    return letters(token) if hidden or _FOREIGN.search(token) and all(c in LATIN_OF for c in token) else None
 
 
 def suspect_tokens(text: str) -> Iterator[tuple[int, int, str, str]]:
@@ -181,14 +199,15 @@ def suspect_tokens(text: str) -> Iterator[tuple[int, int, str, str]]:
     at = 0
     for line in text.split("\n"):
         if not line.isascii() and suspect(line):
+            whole = None
             for m in _TOKEN.finditer(line):
                 t = m[0]
                 if t.isascii() or len(t) < 2:
                     continue
-                foreign = _FOREIGN.search(t)
-                hidden = not _PLAIN.fullmatch(t) or _TABLE.search(t)
-                if hidden or foreign and all(c in LATIN_OF for c in t):
-                    yield at + m.start(), at + m.end(), t, script(line[: m.start()] + line[m.end() :])
+                own = doubtful(t)
+                if own is not None:
+                    whole = whole or letters(line)
+                    yield at + m.start(), at + m.end(), t, script(line, own, whole)
         at += len(line) + 1
 
 
@@ -278,9 +297,13 @@ def tokens_of(texts: DataFrame) -> DataFrame:
 def vocabulary(texts: DataFrame) -> DataFrame:
     """(word, n, shard): the words of `text` in one script, in lower case, and how often they occur."""
     words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{M}]{2,})"), F.lit(1))).alias("word"))
+    # cheap comparisons first, for the blocks of other scripts
+    for a, b in OTHER_SCRIPTS:
+        words = words.filter((F.col("word") < a) | (F.col("word") > b + "\U0010ffff"))
     plain = F.col("word").rlike(r"^(\p{IsLatin}+|\p{IsCyrillic}+|\p{IsGreek}+)$") & ~F.col("word").rlike(f"[{WIDE}{LIGATURES}]")
     first = F.translate(F.substring("word", 1, SHARD_LETTERS), _LETTERS, _PROTOTYPE)
-    return words.filter(plain).groupBy("word").agg(F.count("*").alias("n")).withColumn("shard", first)
+    # each distinct word is looked at once: a condition on the count keeps the filter behind the aggregate
+    return words.groupBy("word").agg(F.count("*").alias("n")).filter(F.when(F.col("n") > 0, plain)).withColumn("shard", first)
 
 
 def choose(found: list[tuple[int, str, int]], around: str) -> str | None:

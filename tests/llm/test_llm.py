@@ -315,6 +315,16 @@ def test_lookalikes():
         assert form(kept) == kept
 
 
+def test_vocabulary_looks_at_distinct_words(spark):
+    """Only whole words of one script, and costly patterns behind the aggregate, not on every occurrence."""
+    texts = ["The pump p\u0443mp насос насос αντλία", "水泵 펌프 ปั๊ม पंप مضخة ＰＵＭＰ ﬁlter the", "é\u0301 Ⅳ ꙗко ԓа"]
+    words = lookalikes.vocabulary(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert {r["word"]: r["n"] for r in words.collect()} == {"the": 2, "pump": 1, "насос": 2, "αντλία": 1, "ꙗко": 1, "ԓа": 1}
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("IsCyrillic") < plan.find("Aggregate")
+    assert lookalikes.script("насос pump pumps") == "L" and [t[2:] for t in lookalikes.suspect_tokens("насос p\u0443mp")] == [("p\u0443mp", "C")]
+
+
 def test_leaks_match_brute_force(spark):
     words = [f"w{i}" for i in range(60)]
     items = spark.createDataFrame([(1, "en", " ".join(words[:30])), (2, "zh", "".join(chr(0x4E00 + i) for i in range(40))), (3, "en", "too short"), (4, "en", None)], "item_id bigint, lang string, text string")
